@@ -19,7 +19,7 @@ from trendloom.operators.filters import parse_key_value_lines
 
 # Separator and encoding candidates, in trial order.
 SEPARATORS = (",", ";", "\t")
-ENCODINGS = ("utf-8", "latin-1")
+ENCODINGS = ("utf-8", "iso-8859-1")  # Latin-1 under its Java charset name
 
 # The texts a pandas CSV read turns into missing values.
 NA_VALUES = (
