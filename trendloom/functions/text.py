@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The characters Python's str.strip() removes (str.isspace),
-# written as one Java regex character class.
+# The characters Python's str.strip() removes (str.isspace).
 PY_WHITESPACE = (
-    r"[\t\n\x0B\f\r\x1C\x1D\x1E\x1F \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
-    r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
 )
 
 # Options that let from_json read Python-style list literals such as ['A', "B"].
@@ -23,9 +23,9 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def strip_chars(c: Column | str, chars_class: str) -> Column:
-    """Remove leading and trailing characters of a regex class (like str.strip(chars))."""
-    return F.regexp_replace(_col(c), f"^{chars_class}+|{chars_class}+$", "")
+def strip_chars(c: Column | str, chars: str) -> Column:
+    """Python ``str.strip(chars)``: outer characters of a set, no regex involved."""
+    return F.trim(_col(c), F.lit(chars))
 
 
 def strip_whitespace(c: Column | str) -> Column:
@@ -75,7 +75,7 @@ def first_artist(c: Column | str) -> Column:
         (s.startswith("'") | s.startswith('"')) & (F.size(wrapped) == 1),
         strip_whitespace(F.get(wrapped, 0)),
     )
-    unbracketed = strip_chars(s, r"[\[\]]")
+    unbracketed = strip_chars(s, "[]")
     before_comma = F.substring_index(unbracketed, ",", 1)
-    fallback = strip_chars(before_comma, r"[ '\"]")
+    fallback = strip_chars(before_comma, " '\"")
     return F.coalesce(from_list, from_scalar, fallback)

@@ -40,7 +40,14 @@ def count_by(df: DataFrame, keys: list[str], name: str = "count", dropna: bool =
     pandas groupby unless ``dropna=False``."""
     require_columns(df, keys)
     if dropna:
-        df = df.dropna(subset=keys)
+        # one IsNotNull per nullable key: Catalyst drops the checks on keys it
+        # proves non-null instead of pushing them down as heavy expressions
+        nullable = [k for k in keys if df.schema[k].nullable]
+        if nullable:
+            cond = F.col(nullable[0]).isNotNull()
+            for k in nullable[1:]:
+                cond = cond & F.col(k).isNotNull()
+            df = df.filter(cond)
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
 
 
@@ -55,8 +62,8 @@ def min_max(df: DataFrame, cols: list[str]) -> DataFrame:
 def distinct_sorted(df: DataFrame, col: str, dropna: bool = True) -> DataFrame:
     """A11 (+F8): distinct values in ascending order."""
     out = df.select(col)
-    if dropna:
-        out = out.dropna()
+    if dropna and df.schema[col].nullable:
+        out = out.filter(F.col(col).isNotNull())
     return out.distinct().orderBy(col)
 
 

@@ -1,0 +1,17 @@
+"""Parallelism helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin rows over at least ``min_partitions`` tasks, but only when
+    the source arrives in fewer splits (e.g. one Parquet file with a single
+    row group). A large input already has many splits, so on a cluster this
+    is a no-op and adds no shuffle. The check reads planning metadata only.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)

@@ -17,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from trendloom.operators.partitioning import spread
+
 # Genre labels indexed by p_partkey % 16 (FIXTURES §4).
 GENRES = [
     "dance pop", "K-Pop", "latin rock", "rap rock", "funk rock", "electro funk",
@@ -26,20 +28,19 @@ GENRES = [
 
 
 def _tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    items = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
-        "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_returnflag")
+    items = spread(spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
+        "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_returnflag"))
     parts = spark.read.parquet(f"{sf_dir}/part.parquet").select(
         "p_partkey", "p_name", "p_brand", "p_type")
     return items.join(parts, items.l_partkey == parts.p_partkey, "inner")
 
 
 def _genre() -> Column:
-    idx = F.pmod(F.col("p_partkey"), F.lit(16))
-    expr = None
-    for i, g in enumerate(GENRES):
-        val = F.lit(g) if g is not None else F.lit(None).cast("string")
-        expr = F.when(idx == i, val) if expr is None else expr.when(idx == i, val)
-    return expr
+    # l_partkey equals p_partkey on every joined row; deriving from the
+    # lineitem side lets genre predicates run in the scan stage, not the join.
+    # A literal array makes the lookup one element_at instead of a CASE chain.
+    labels = F.array(*[F.lit(g) if g is not None else F.lit(None).cast("string") for g in GENRES])
+    return F.element_at(labels, (F.pmod(F.col("l_partkey"), F.lit(len(GENRES))) + 1).cast("int"))
 
 
 def _genre_sql() -> str:
