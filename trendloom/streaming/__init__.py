@@ -1,0 +1,7 @@
+"""No streaming operators.
+
+The catalog jobs this package re-expresses are batch only: there is no
+event-time, watermark, state or late-data behaviour to reproduce (SURVEY
+§2.11), so nothing here runs. Incremental loads are plain batch runs of
+``plans.etl.run_etl`` over new input folders.
+"""
