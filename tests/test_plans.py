@@ -133,3 +133,17 @@ def test_profile(spark):
     prof = reports.profile(catalog.raw_catalog(spark, SF), sample_rows=100)
     assert prof.sample.count() == 100 and prof.preview.count() == 5
     assert prof.candidates["streams"] == ["popularity"] and prof.candidates["date"] == ["release_date"]
+
+
+def test_dashboard_source_and_score_feed(spark):
+    src = reports.dashboard_source(catalog.enriched_tracks(spark, SF))
+    try:
+        counts = reports.drilldown(src, "Rap").yearly_counts
+        assert counts.count() > 0
+        assert reports.genre_trend_by_year(catalog.enriched_tracks(spark, SF)).columns[0] == "year"
+    finally:
+        src.unpersist()
+    trends = catalog_jobs.q_gen_artist(spark, SF)
+    feed = reports.score_feed(trends)
+    assert feed.columns == ["artist", "total_streams"]
+    assert reports.score_feed(trends.select("generation")) is None

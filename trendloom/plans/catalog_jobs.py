@@ -225,6 +225,41 @@ def q_etl_from_csv(spark, d):
     return build.artist_trends(tracks, ordered=False)
 
 
+def q_gen_platform_strict(spark, d):
+    return build.generation_stats(_tracks(spark, d), strict_line_split=True, ordered=False)
+
+
+def q_genre_composition(spark, d):
+    return reports.genre_composition(genre_share_by_generation(enriched_tracks(spark, d)))
+
+
+def q_artist_choices(spark, d):
+    return reports.artist_choices(enriched_tracks(spark, d), "Rap")
+
+
+def q_score_feed(spark, d):
+    return reports.score_feed(reports.top_n_one_generation(_trends(spark, d), "2000s", n=15))
+
+
+def q_parquet_roundtrip(spark, d):
+    from trendloom.sources.readers import read_parquet_or_csv
+    from trendloom.sources.writers import write_parquet_safe
+    base = _roundtrip_dir(spark, "parquet")
+    write_parquet_safe(_tracks(spark, d), base + "/tracks.parquet", partition_by=["generation"])
+    tracks = read_parquet_or_csv(spark, base + "/tracks.parquet", base + "/tracks.csv")
+    return build.generation_stats(tracks, ordered=False)
+
+
+def q_build_files(spark, d):
+    from trendloom.sources.layout import Layout
+    from trendloom.sources.readers import read_csv
+    from trendloom.sources.writers import write_parquet
+    lay = Layout(_roundtrip_dir(spark, "layout"))
+    write_parquet(_tracks(spark, d), lay.tracks)
+    outs = build.run_build(spark, lay)
+    return read_csv(spark, outs["top_artists_by_gen"], "generation string, artist string, total_streams bigint")
+
+
 JOBS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name: fn for name, fn in globals().items() if name.startswith("q_") and callable(fn)
 }
@@ -413,4 +448,13 @@ FROM stats GROUP BY generation""",
     "q_csv_roundtrip": STATS + "SELECT * FROM stats",
     "q_jsonl_roundtrip": TRENDS + "SELECT * FROM trends",
     "q_etl_from_csv": TRENDS + "SELECT * FROM trends",
+    "q_gen_platform_strict": STATS + "SELECT * FROM stats",
+    "q_genre_composition": SHARES_GEN + f"SELECT generation, {_pivot_cols(BATCH_LABELS, 'generation')} FROM p GROUP BY generation",
+    "q_artist_choices": LABELLED_DASH + "SELECT DISTINCT artist FROM lab WHERE macro_genre = 'Rap' AND artist IS NOT NULL",
+    "q_score_feed": TRENDS + """SELECT artist, total_streams FROM trends WHERE generation = '2000s'
+ORDER BY total_streams DESC NULLS LAST, generation, artist LIMIT 15""",
+    "q_parquet_roundtrip": STATS + "SELECT * FROM stats",
+    "q_build_files": TRENDS + """, r AS (SELECT *, row_number() OVER (PARTITION BY generation
+        ORDER BY total_streams DESC NULLS LAST, artist ASC) AS rn FROM trends)
+SELECT generation, artist, total_streams FROM r WHERE rn <= 10""",
 }

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -85,8 +86,12 @@ class Drilldown:
 def drilldown(enriched: DataFrame, genre: str, year_range: tuple[int, int] | None = None,
               pop_range: tuple[float, float] | None = None, artist: str | None = None,
               top: int = SLICE_TOP, truncate_bounds: bool = False, strict: bool = True) -> Drilldown:
-    """Genre -> year range -> pop range -> artist; yearly counts + top tracks."""
-    sub = equals_filter(labelled(enriched, GENRE_RULES_DASHBOARD, strict), "macro_genre", genre)
+    """Genre -> year range -> pop range -> artist; yearly counts + top tracks.
+
+    Accepts the raw enriched table or the shared ``dashboard_source`` table.
+    """
+    table = enriched if "macro_genre" in enriched.columns else labelled(enriched, GENRE_RULES_DASHBOARD, strict)
+    sub = equals_filter(table, "macro_genre", genre)
     lo, hi = year_range if year_range else (None, None)
     sub = range_filter(sub, "year", lo, hi, truncate_bounds)
     if "pop" in sub.columns:
@@ -105,6 +110,25 @@ def artist_choices(enriched: DataFrame, genre: str, strict: bool = True) -> Data
     return distinct_sorted(sub, "artist")
 
 
+def dashboard_source(enriched: DataFrame, strict: bool = True, persist: bool = True) -> DataFrame:
+    """The labelled table R5 and R6 both read, computed once.
+
+    Persisted MEMORY_AND_DISK: blocks lost with an executor are recomputed
+    from lineage, and nothing has to fit in memory.
+    """
+    table = labelled(enriched, GENRE_RULES_DASHBOARD, strict)
+    return table.persist(StorageLevel.MEMORY_AND_DISK) if persist else table
+
+
+def score_feed(top: DataFrame) -> DataFrame | None:
+    """(artist, score) pairs for the ranking chart, detected by name."""
+    artist = pick_column(top.columns, ARTIST_CANDIDATES)
+    score = pick_column(top.columns, SCORE_CANDIDATES)
+    if artist is None or score is None:
+        return None
+    return top.select(artist, score)
+
+
 def metric_trend(stats: DataFrame, metrics: list[str] | None = None) -> DataFrame | None:
     """Chosen metric columns over generations; None when no generation column."""
     gen = pick_column(stats.columns, GENERATION_CANDIDATES)
