@@ -82,15 +82,16 @@ def is_empty(df: DataFrame) -> bool:
 INT_TEXT = r"^\s*[+-]?[0-9]+(_[0-9]+)*\s*$"
 
 
-def parse_key_value_lines(lines: DataFrame, key_names: tuple[str, str],
-                          defaults: tuple[str, str], value_name: str = "streams",
-                          header_prefix: str = "generation,") -> DataFrame:
-    """S6 + F7 + X12: the line mapper of the reference's MapReduce jobs.
+def key_value_fields(lines: DataFrame, key_names: tuple[str, str],
+                     defaults: tuple[str, str], value_name: str = "streams",
+                     header_prefix: str = "generation,") -> DataFrame:
+    """S6 + F7 + X12 as one projection: the line mapper of the reference's
+    MapReduce jobs, with a null value for every line it would drop.
 
     Input is a DataFrame with a ``value`` text column (``spark.read.text``).
-    Header lines are skipped, each line is split on every comma without
-    quoting, lines with fewer than three fields or a non-integer third
-    field are dropped, and blank keys take their defaults.
+    Each line is split on every comma without quoting; header lines, lines
+    with fewer than three fields and lines whose third field is not an
+    integer are rejected; blank keys take their defaults.
     """
     v = F.col("value")
     parts = split_fields(v)
@@ -98,8 +99,31 @@ def parse_key_value_lines(lines: DataFrame, key_names: tuple[str, str],
     ok = (~v.startswith(header_prefix)) & (F.size(parts) >= 3) & third.rlike(INT_TEXT)
     k1, k2 = key_names
     d1, d2 = defaults
-    return lines.filter(ok).select(
+    return lines.select(
         F.coalesce(F.nullif(F.get(parts, 0), F.lit("")), F.lit(d1)).alias(k1),
         F.coalesce(F.nullif(F.get(parts, 1), F.lit("")), F.lit(d2)).alias(k2),
-        F.regexp_replace(third, r"[\s_]", "").try_cast("bigint").alias(value_name),
+        F.when(ok, F.regexp_replace(third, r"[\s_]", "").try_cast("bigint")).alias(value_name),
     )
+
+
+def parse_key_value_lines(lines: DataFrame, key_names: tuple[str, str],
+                          defaults: tuple[str, str], value_name: str = "streams",
+                          header_prefix: str = "generation,") -> DataFrame:
+    """Row-level mapper output: only the accepted lines."""
+    fields = key_value_fields(lines, key_names, defaults, value_name, header_prefix)
+    return fields.filter(F.col(value_name).isNotNull())
+
+
+def sum_key_value_lines(lines: DataFrame, key_names: tuple[str, str],
+                        defaults: tuple[str, str], total_name: str = "total_streams",
+                        header_prefix: str = "generation,") -> DataFrame:
+    """Mapper + reducer: totals per key pair over the accepted lines.
+
+    Rejected lines only carry a null value, and a key pair is kept when at
+    least one accepted line feeds it. The check sits above the aggregate, so
+    Catalyst cannot push it down and re-evaluate the line expression per row.
+    """
+    fields = key_value_fields(lines, key_names, defaults, "_v", header_prefix)
+    k1, k2 = key_names
+    agg = fields.groupBy(k1, k2).agg(F.sum("_v").alias(total_name), F.count("_v").alias("_accepted"))
+    return agg.filter(F.col("_accepted") > 0).drop("_accepted")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from trendloom.operators.aggregates import sum_streams_by
 from trendloom.operators.columns import clean_by_type, reindex_columns
-from trendloom.operators.filters import parse_key_value_lines
+from trendloom.operators.filters import sum_key_value_lines
 from trendloom.operators.ordering import sort_by_total_desc
 from trendloom.operators.windows import top_n_per_group
 
@@ -31,8 +31,7 @@ def _strict_lines(tracks: DataFrame, key: str, key_default: str) -> DataFrame:
     slim = clean_by_type(tracks, ["generation", key, "streams"])
     lines = slim.select(F.concat_ws(",", _csv_field(F.col("generation")), _csv_field(F.col(key)),
                                     F.col("streams").cast("string")).alias("value"))
-    parsed = parse_key_value_lines(lines, ("generation", key), ("unknown", key_default))
-    return parsed.groupBy("generation", key).agg(F.sum("streams").alias("total_streams"))
+    return sum_key_value_lines(lines, ("generation", key), ("unknown", key_default))
 
 
 def generation_stats(tracks: DataFrame, strict_line_split: bool = False, ordered: bool = True) -> DataFrame:

@@ -17,7 +17,7 @@ from trendloom.functions.numeric import digits_only, to_int64
 from trendloom.functions.text import first_artist, normalize_text
 from trendloom.operators.aggregates import audit_counts, distinct_sorted, min_max
 from trendloom.operators.columns import clean_by_type, reindex_columns, with_generation
-from trendloom.operators.filters import parse_key_value_lines
+from trendloom.operators.filters import sum_key_value_lines
 from trendloom.plans import build, reports
 from trendloom.plans.catalog import (
     enriched_tracks,
@@ -106,9 +106,8 @@ def q_digits_only(spark, d):
 
 
 def q_reject_malformed(spark, d):
-    parsed = parse_key_value_lines(key_value_lines(spark, d), ("generation", "artist"),
-                                   ("unknown", "Unknown Artist"))
-    return parsed.groupBy("generation", "artist").agg(F.sum("streams").alias("total_streams"))
+    return sum_key_value_lines(key_value_lines(spark, d), ("generation", "artist"),
+                               ("unknown", "Unknown Artist"))
 
 
 def q_min_max(spark, d):
