@@ -49,13 +49,16 @@ def split_fields(c: Column | str, sep: str = ",") -> Column:
 
 
 def contains_any(c: Column | str, needles: list[str]) -> Column:
-    """Lower-cased substring test against any of ``needles``."""
-    low = F.lower(_col(c))
-    out = None
-    for n in needles:
-        cond = low.contains(n)
-        out = cond if out is None else (out | cond)
-    return out if out is not None else F.lit(False)
+    """Does the lower-cased text contain any of ``needles``?
+
+    One regex per call (needles quoted literally) instead of one lower() and
+    contains() per needle: filters get no common-subexpression elimination,
+    so a pushed-down rule list would otherwise lower-case the text per needle.
+    """
+    if not needles:
+        return F.lit(False)
+    pattern = "|".join(r"\Q" + n.lower() + r"\E" for n in needles)
+    return F.lower(_col(c)).rlike(pattern)
 
 
 def first_artist(c: Column | str) -> Column:

@@ -54,10 +54,10 @@ def range_filter(df: DataFrame, col: str, lo=None, hi=None,
             lo_e, hi_e = F.min(c).cast("double").try_cast("bigint"), F.max(c).cast("double").try_cast("bigint")
         else:
             lo_e, hi_e = F.floor(F.min(c)), F.ceil(F.max(c))
-        if lo is None:
-            lo = df.agg(lo_e.alias("lo")).scalar()
-        if hi is None:
-            hi = df.agg(hi_e.alias("hi")).scalar()
+        # both bounds from one scalar subquery: one extra pass, not two
+        bounds = df.agg(F.struct(lo_e.alias("lo"), hi_e.alias("hi")).alias("b")).scalar()
+        lo = bounds.getField("lo") if lo is None else lo
+        hi = bounds.getField("hi") if hi is None else hi
     lo = lo if isinstance(lo, Column) else F.lit(lo)
     hi = hi if isinstance(hi, Column) else F.lit(hi)
     return df.filter(c.between(lo, hi))
