@@ -178,3 +178,10 @@ def test_run_etl_year_fallback(spark, scratch):
     out = run_etl(spark, base + "/raw", base + "/tracks.parquet")
     got = sorted((r.artist, r.year, r.generation) for r in spark.read.parquet(out).collect())
     assert got == [("A", 2100, "2020s"), ("C", 2105, "2020s")]
+
+
+def test_grand_total(spark):
+    stats = catalog_jobs.q_gen_platform(spark, SF)
+    table = reports.streams_by_decade_platform(stats, ["A", "N", "R"])
+    total = reports.grand_total(table).collect()[0].grand_total
+    assert total == stats.groupBy().sum("total_streams").collect()[0][0]

@@ -48,6 +48,16 @@ def streams_by_decade_platform(stats: DataFrame, platforms: list[str] | None = N
     return table.orderBy(decade_sort_key(F.col("generation")), F.col("generation"))
 
 
+def grand_total(table: DataFrame, key: str = "generation") -> DataFrame:
+    """A9 check over a pivot: one row with the sum of every value column
+    (0 flags a table whose totals were lost, e.g. to a wrong separator)."""
+    cols = [c for c in table.columns if c != key]
+    total = F.lit(0)
+    for c in cols:
+        total = total + F.coalesce(F.sum(F.col(f"`{c}`")), F.lit(0))
+    return table.agg(total.alias("grand_total"))
+
+
 def top_artists_every_decade(top: DataFrame, n: int = 10) -> DataFrame:
     """R2: the n best artists of every decade, decades in numeric order."""
     top = _clean_totals(checked_select(top, ["generation", "artist", "total_streams"]))
