@@ -1,7 +1,6 @@
 """Table-level cases of FIXTURES §3 and operator behaviour."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from trendloom.operators.aggregates import count_by, distinct_sorted, min_max, observed
 from trendloom.operators.columns import (

@@ -9,7 +9,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from trendloom.functions.decades import decade_open, year_from_text
 from trendloom.functions.genres import GENRE_RULES_BATCH, GENRE_RULES_DASHBOARD, macro_genre
