@@ -89,6 +89,10 @@ def run_etl(spark, in_path: str, out_path: str, platform: str | None = DEFAULT_P
     guard fires (some popularity is non-zero, some year is in range) while
     ``observe`` collects the guard inputs from the same scan. Only when a
     guard does fire is the output rewritten with the exact two-pass plan.
+
+    ``partition_by=["generation"]`` (at most a dozen values) lets later
+    per-decade filters read one folder; it is off by default because an
+    empty partitioned output has no file to carry the schema.
     """
     from pyspark.sql import Observation
 

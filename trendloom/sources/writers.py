@@ -14,7 +14,7 @@ log = logging.getLogger(__name__)
 def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None) -> str:
     w = df.write.mode("overwrite")
     if partition_by:
-        w = w.partitionBy(*partition_by)
+        w = w.partitionBy(*list(partition_by))
     w.parquet(path)
     return path
 
