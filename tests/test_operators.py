@@ -225,3 +225,12 @@ def test_spread_only_when_few_splits(spark):
     assert sorted(r.id for r in spread_out.collect()) == list(range(100))
     many = spark.range(100).repartition(8)
     assert spread(many, 4) is many
+
+
+def test_isin_and_is_empty(spark):
+    from trendloom.operators.filters import is_empty, isin_filter
+
+    df = spark.createDataFrame([("1990s",), ("2000s",), (None,)], "generation string")
+    assert [r.generation for r in isin_filter(df, "generation", ["1990s"]).collect()] == ["1990s"]
+    assert is_empty(isin_filter(df, "generation", ["1950s"]))
+    assert not is_empty(df)
