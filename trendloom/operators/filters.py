@@ -22,16 +22,24 @@ def year_in_range(c: Column | str = "year", lo: int = YEAR_MIN, hi: int = YEAR_M
     return c.between(lo, hi)
 
 
+def any_in_range_agg(year_col: str = "year", lo: int = YEAR_MIN, hi: int = YEAR_MAX) -> Column:
+    """A13-style aggregate for F2: 1 when some year is in range, else 0."""
+    return F.coalesce(F.max(year_in_range(year_col, lo, hi).cast("int")), F.lit(0))
+
+
 def filter_years_with_fallback(df: DataFrame, year_col: str = "year",
-                               lo: int = YEAR_MIN, hi: int = YEAR_MAX) -> DataFrame:
+                               lo: int = YEAR_MIN, hi: int = YEAR_MAX,
+                               any_in_range: Column | None = None) -> DataFrame:
     """F1 + F2: keep in-range years; if none is in range but some year is
-    non-null, keep every non-null year instead."""
+    non-null, keep every non-null year instead.
+
+    ``any_in_range`` may be passed in when the caller already computes it in
+    a shared scalar subquery (one pass for several guards).
+    """
     y = F.col(year_col)
-    in_range = year_in_range(y, lo, hi)
-    any_in_range = df.agg(
-        F.coalesce(F.max(in_range.cast("int")), F.lit(0)).alias("any_in_range")
-    ).scalar()
-    return df.filter(in_range | ((any_in_range == 0) & y.isNotNull()))
+    if any_in_range is None:
+        any_in_range = df.agg(any_in_range_agg(year_col, lo, hi).alias("any_in_range")).scalar()
+    return df.filter(year_in_range(y, lo, hi) | ((any_in_range == 0) & y.isNotNull()))
 
 
 def equals_filter(df: DataFrame, col: str, value) -> DataFrame:

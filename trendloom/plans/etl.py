@@ -20,21 +20,36 @@ from trendloom.operators.columns import (
     with_generation,
     year_expr,
 )
-from trendloom.operators.filters import filter_years_with_fallback
+from trendloom.operators.filters import any_in_range_agg, filter_years_with_fallback
 
 REQUIRED_COLS = ("artist", "track_name", "year", "streams")  # fixed value
 DEFAULT_PLATFORM = "spotify"  # fixed value
 
 
-def streams_expr(raw: DataFrame):
-    """P5 + X3 + A9: popularity as BIGINT; all-zero (or absent) -> every row 1."""
+def popularity_value(raw: DataFrame) -> Column | None:
+    """P5 + X3: popularity as a double, bad or missing -> 0 (None without the column)."""
     pop = popularity_column(raw)
     if pop is None:
+        return None
+    return F.coalesce(to_double(F.col(f"`{pop}`"), raw.schema[pop].dataType), F.lit(0.0))
+
+
+def streams_from(value: Column | None, popularity_total: Column | None = None) -> Column:
+    """BIGINT streams; every row counts 1 when the column is absent or
+    (given the total) when it sums to 0."""
+    if value is None:
         return F.lit(1).cast("bigint")
-    value = F.coalesce(to_double(F.col(f"`{pop}`"), raw.schema[pop].dataType), F.lit(0.0))
-    total = raw.agg(F.sum(value).alias("popularity_total")).scalar()
-    return (F.when(total == 0, F.lit(1).cast("bigint"))
-             .otherwise(F.coalesce(value.try_cast("bigint"), F.lit(0).cast("bigint"))))
+    streams = F.coalesce(value.try_cast("bigint"), F.lit(0).cast("bigint"))
+    if popularity_total is None:
+        return streams
+    return F.when(popularity_total == 0, F.lit(1).cast("bigint")).otherwise(streams)
+
+
+def streams_expr(raw: DataFrame) -> Column:
+    """P5 + X3 + A9 on their own (one scalar subquery for the total)."""
+    value = popularity_value(raw)
+    total = raw.agg(F.sum(value).alias("popularity_total")).scalar() if value is not None else None
+    return streams_from(value, total)
 
 
 def normalize_tracks(raw: DataFrame, platform: str | None = DEFAULT_PLATFORM,
@@ -42,19 +57,29 @@ def normalize_tracks(raw: DataFrame, platform: str | None = DEFAULT_PLATFORM,
     """Raw columns are kept; artist, track_name, year, streams, platform and
     generation are added (or replaced in place when the name exists).
 
+    Both data-dependent guards (popularity total, any year in range) come
+    from one struct-valued scalar subquery referenced twice, so the input is
+    read once for the guards and once for the rows.
+
     ``platform=None`` keeps an existing platform column instead of the
     constant (used by the multi-platform test catalog).
     """
-    streams = streams_expr(raw)
+    lo, hi = year_range
+    value = popularity_value(raw)
     df = (raw.withColumn("artist", artist_expr(raw))
              .withColumn("track_name", track_expr(raw))
-             .withColumn("year", year_expr(raw))
-             .withColumn("streams", streams))
+             .withColumn("year", year_expr(raw)))
+    guard_fields = [any_in_range_agg("year", lo, hi).alias("any_in_range")]
+    if value is not None:
+        guard_fields.append(F.sum(value).alias("popularity_total"))
+    guards = df.agg(F.struct(*guard_fields).alias("guards")).scalar()
+    total = guards.getField("popularity_total") if value is not None else None
+    df = df.withColumn("streams", streams_from(value, total))
     if platform is not None or "platform" not in df.columns:
         df = df.withColumn("platform", F.lit(platform or DEFAULT_PLATFORM))
     df = (df.withColumn("artist", normalize_text("artist", "Unknown Artist"))
             .withColumn("track_name", normalize_text("track_name", "Unknown Track")))
-    df = filter_years_with_fallback(df, "year", *year_range)
+    df = filter_years_with_fallback(df, "year", lo, hi, any_in_range=guards.getField("any_in_range"))
     df = with_generation(df, "year", "generation", mode="decade")
     df = df.withColumn("generation", F.coalesce(F.col("generation"), F.lit("unknown")))
     for c in REQUIRED_COLS:
@@ -65,15 +90,11 @@ def normalize_tracks(raw: DataFrame, platform: str | None = DEFAULT_PLATFORM,
 
 def _resolved(raw: DataFrame, platform: str | None) -> tuple[DataFrame, Column | None]:
     """Resolved and cleaned columns without the data-dependent guards."""
-    pop = popularity_column(raw)
-    value = (F.coalesce(to_double(F.col(f"`{pop}`"), raw.schema[pop].dataType), F.lit(0.0))
-             if pop is not None else None)
-    streams = (F.coalesce(value.try_cast("bigint"), F.lit(0).cast("bigint"))
-               if value is not None else F.lit(1).cast("bigint"))
+    value = popularity_value(raw)
     df = (raw.withColumn("artist", artist_expr(raw))
              .withColumn("track_name", track_expr(raw))
              .withColumn("year", year_expr(raw))
-             .withColumn("streams", streams))
+             .withColumn("streams", streams_from(value)))
     if platform is not None or "platform" not in df.columns:
         df = df.withColumn("platform", F.lit(platform or DEFAULT_PLATFORM))
     df = (df.withColumn("artist", normalize_text("artist", "Unknown Artist"))
