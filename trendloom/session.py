@@ -28,9 +28,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by the cluster in ``spark.checkpoint.dir``.
 
-    Only when nothing is configured (a bare local test session) a private
-    temporary folder is created and registered, so lineage cuts and
-    round-trip writes always land in the folder every executor can see.
+    Only a local-mode session with nothing configured (tests) gets a private
+    temporary folder; a cluster session without the setting is an error, so
+    intermediate writes always land in a folder every executor can see.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -40,6 +40,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     local = tempfile.mkdtemp(prefix="trendloom-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local
