@@ -66,19 +66,20 @@ def normalize_tracks(raw: DataFrame, platform: str | None = DEFAULT_PLATFORM,
     """
     lo, hi = year_range
     value = popularity_value(raw)
-    df = (raw.withColumn("artist", artist_expr(raw))
-             .withColumn("track_name", track_expr(raw))
-             .withColumn("year", year_expr(raw)))
+    df = raw.withColumns({
+        "artist": normalize_text(artist_expr(raw), "Unknown Artist"),
+        "track_name": normalize_text(track_expr(raw), "Unknown Track"),
+        "year": year_expr(raw),
+    })
     guard_fields = [any_in_range_agg("year", lo, hi).alias("any_in_range")]
     if value is not None:
         guard_fields.append(F.sum(value).alias("popularity_total"))
     guards = df.agg(F.struct(*guard_fields).alias("guards")).scalar()
     total = guards.getField("popularity_total") if value is not None else None
-    df = df.withColumn("streams", streams_from(value, total))
+    extra = {"streams": streams_from(value, total)}
     if platform is not None or "platform" not in df.columns:
-        df = df.withColumn("platform", F.lit(platform or DEFAULT_PLATFORM))
-    df = (df.withColumn("artist", normalize_text("artist", "Unknown Artist"))
-            .withColumn("track_name", normalize_text("track_name", "Unknown Track")))
+        extra["platform"] = F.lit(platform or DEFAULT_PLATFORM)
+    df = df.withColumns(extra)
     df = filter_years_with_fallback(df, "year", lo, hi, any_in_range=guards.getField("any_in_range"))
     df = with_generation(df, "year", "generation", mode="decade")
     df = df.withColumn("generation", F.coalesce(F.col("generation"), F.lit("unknown")))
@@ -91,15 +92,15 @@ def normalize_tracks(raw: DataFrame, platform: str | None = DEFAULT_PLATFORM,
 def _resolved(raw: DataFrame, platform: str | None) -> tuple[DataFrame, Column | None]:
     """Resolved and cleaned columns without the data-dependent guards."""
     value = popularity_value(raw)
-    df = (raw.withColumn("artist", artist_expr(raw))
-             .withColumn("track_name", track_expr(raw))
-             .withColumn("year", year_expr(raw))
-             .withColumn("streams", streams_from(value)))
-    if platform is not None or "platform" not in df.columns:
-        df = df.withColumn("platform", F.lit(platform or DEFAULT_PLATFORM))
-    df = (df.withColumn("artist", normalize_text("artist", "Unknown Artist"))
-            .withColumn("track_name", normalize_text("track_name", "Unknown Track")))
-    return df, value
+    cols = {
+        "artist": normalize_text(artist_expr(raw), "Unknown Artist"),
+        "track_name": normalize_text(track_expr(raw), "Unknown Track"),
+        "year": year_expr(raw),
+        "streams": streams_from(value),
+    }
+    if platform is not None or "platform" not in raw.columns:
+        cols["platform"] = F.lit(platform or DEFAULT_PLATFORM)
+    return raw.withColumns(cols), value
 
 
 def run_etl(spark, in_path: str, out_path: str, platform: str | None = DEFAULT_PLATFORM,
