@@ -142,6 +142,11 @@ def q_slice_year_counts(spark, d):
     return reports.drilldown(enriched_tracks(spark, d), "Latin", pop_range=(10, 90)).yearly_counts
 
 
+def q_slice_artist_counts(spark, d):
+    return reports.drilldown(enriched_tracks(spark, d), "Pop", year_range=(1930, 1990),
+                             artist="Brand#13").yearly_counts
+
+
 def q_top_n_one_gen(spark, d):
     return reports.top_n_one_generation(_trends(spark, d), "1990s", n=10)
 
@@ -423,6 +428,8 @@ SELECT generation, artist, total_streams FROM r WHERE rn <= 5""",
 ORDER BY pop DESC NULLS LAST, track_name, artist, year, genre LIMIT 30""",
     "q_slice_year_counts": _slice_sql("Latin", None, None, 10, 90) + """SELECT year, count(*) AS n_tracks
 FROM s3 WHERE year IS NOT NULL GROUP BY year""",
+    "q_slice_artist_counts": _slice_sql("Pop", 1930, 1990) + """SELECT year, count(*) AS n_tracks
+FROM s3 WHERE artist = 'Brand#13' AND year IS NOT NULL GROUP BY year""",
     "q_top_n_one_gen": TRENDS + """SELECT generation, artist, total_streams FROM trends WHERE generation = '1990s'
 ORDER BY total_streams DESC NULLS LAST, generation, artist LIMIT 10""",
     "q_gen_platform": STATS + "SELECT * FROM stats",
