@@ -1,8 +1,10 @@
 """Raw catalog -> processed tracks (resolve, clean, filter, label).
 
 One lazy plan. The two data-dependent decisions of the reference (an
-all-zero popularity column, no year in range) are scalar subqueries over the
-same input; Spark merges them into a single one-row aggregate pass.
+all-zero popularity column, no year in range) come from one struct-valued
+scalar subquery over the same input: a one-row aggregate with map-side
+partial aggregation, evaluated once and used by both the projection and the
+filter. ``run_etl`` avoids even that pass in the common case.
 """
 
 from __future__ import annotations
