@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trendloom.llm import knn, langid, minhash, mixing, token_counts
+from trendloom.llm import knn, langid, lines, minhash, mixing, passages, token_counts
 from trendloom.llm.common import table
 
 
@@ -24,6 +24,14 @@ def op6_voronoi_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return knn.top_k(table(spark, sf_dir, "embeddings"), k=5, every=50)
 
 
+def op7_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.repeated_passages(table(spark, sf_dir, "documents"))
+
+
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.dedup_lines(table(spark, sf_dir, "documents"))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
@@ -36,6 +44,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_counts": op2_token_counts,
     "op3_minhash_near_duplicates": op3_minhash_near_duplicates,
     "op6_voronoi_top_k": op6_voronoi_top_k,
+    "op7_repeated_passages": op7_repeated_passages,
+    "op8_line_dedup": op8_line_dedup,
     "op9_language_id": op9_language_id,
     "op10_mix_sources": op10_mix_sources,
 }
