@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trendloom.llm import knn, langid, lines, minhash, mixing, passages, token_counts
+from trendloom.llm import knn, langid, lines, minhash, mixing, passages, token_counts, urls
 from trendloom.llm.common import table
 
 
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge_urls(table(spark, sf_dir, "pages"))
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -41,6 +45,7 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_url_filter": op1_url_filter,
     "op2_token_counts": op2_token_counts,
     "op3_minhash_near_duplicates": op3_minhash_near_duplicates,
     "op6_voronoi_top_k": op6_voronoi_top_k,
@@ -50,4 +55,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_mix_sources": op10_mix_sources,
 }
 
-ORACLE: dict[str, str] = {"op6_voronoi_top_k": knn.ORACLE}
+ORACLE: dict[str, str] = {"op1_url_filter": urls.oracle(), "op6_voronoi_top_k": knn.ORACLE}
