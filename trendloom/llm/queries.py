@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trendloom.llm import knn, langid, lines, minhash, mixing, passages, pii, token_counts, urls
+from trendloom.llm import decontaminate, knn, langid, lines, minhash, mixing, passages, pii, token_counts, urls
 from trendloom.llm.common import table
 
 
@@ -24,6 +24,10 @@ def op3_minhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), k=3, percent=85)
 
 
+def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_pii(table(spark, sf_dir, "documents"))
 
@@ -52,6 +56,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
     "op2_token_counts": op2_token_counts,
     "op3_minhash_near_duplicates": op3_minhash_near_duplicates,
+    "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op5_personal_data": op5_personal_data,
     "op6_voronoi_top_k": op6_voronoi_top_k,
     "op7_repeated_passages": op7_repeated_passages,
