@@ -7,7 +7,6 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -28,6 +27,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared scratch folder and read it back: lineage ends here."""
     spark = df.sparkSession
     path = f"{checkpoint_root(spark)}/llm-{name}-{uuid.uuid4().hex}"
+    spark.sparkContext._jvm.System.gc()  # so that Spark's cleaner drops the shuffle files of finished stages
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -55,23 +55,6 @@ def map_batches(df: DataFrame, schema: str, make: Callable[[], Callable[..., dic
     return df.mapInArrow(run, schema)
 
 
-class WordHashes(dict):
-    """64-bit hash by word; emptied when it holds ``limit`` words, so its memory is bounded."""
-
-    def __init__(self, limit: int = 200_000):
-        super().__init__()
-        self.limit = limit
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.limit:
-            self.clear()
-        h = self[word] = xxhash.xxh3_64_intdigest(word)
-        return h
-
-    def array(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
-
-
 def mix64(x: np.ndarray) -> np.ndarray:
     """The finaliser of splitmix64, elementwise over uint64."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -79,6 +62,74 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
+#: The inverse of MULTIPLIER modulo 2^64.
+INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 2**64))
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+_SPACE = np.zeros(256, bool)
+_SPACE[[9, 10, 11, 12, 13, 32]] = True
+#: Bytes of text that are hashed at once (a longer document makes a block of its own).
+BLOCK_BYTES = 1 << 20
+
+
+class Block:
+    """The words of some documents of a batch: hashes (64 bits of the lower-cased word), where each starts."""
+
+    __slots__ = ("bounds", "edges", "first", "hashes", "lines", "starts")
+
+    def __init__(self, first: int, hashes: np.ndarray, starts: np.ndarray, edges: np.ndarray, lines: np.ndarray):
+        self.first, self.hashes, self.starts, self.edges, self.lines = first, hashes, starts, edges, lines
+        #: document i of the block has words bounds[i] to bounds[i + 1]
+        self.bounds = np.searchsorted(starts, edges)
+
+
+class Tokenizer:
+    """Hashes of all words of Arrow texts, without a Python object for each word.
+
+    A word's hash is the polynomial of its bytes in MULTIPLIER modulo 2^64, read
+    off prefix sums, then mixed; it depends on the word only.
+    """
+
+    def __init__(self):
+        self.powers = self.inverses = np.ones(1, np.uint64)
+
+    def blocks(self, texts: pa.Array) -> Iterator[Block]:
+        if not len(texts):
+            return
+        texts = pa.concat_arrays([texts.fill_null("").cast(pa.large_string())])
+        _, offsets, data = texts.buffers()
+        offsets = np.frombuffer(offsets, np.int64)[texts.offset : texts.offset + len(texts) + 1]
+        data = np.frombuffer(data, np.uint8) if data else np.zeros(0, np.uint8)
+        i = 0
+        while i < len(texts):
+            j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + BLOCK_BYTES, "right")) - 1)
+            yield self.block(i, data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
+            i = j
+
+    def block(self, first: int, data: np.ndarray, edges: np.ndarray) -> Block:
+        n = len(data)
+        if n > len(self.powers):
+            size = max(n, min(2 * n, BLOCK_BYTES))
+            self.powers, self.inverses = (np.cumprod(np.concatenate([[np.uint64(1)], np.full(size - 1, m, np.uint64)]), dtype=np.uint64) for m in (MULTIPLIER, INVERSE))
+        if not n:
+            none = np.zeros(0, np.int64)
+            return Block(first, np.zeros(0, np.uint64), none, edges, none)
+        b = _LOWER[data]
+        space = _SPACE[b]
+        before, after = np.empty(n, bool), np.empty(n, bool)
+        before[1:], after[:-1] = space[:-1], space[1:]
+        full = np.flatnonzero(edges[1:] > edges[:-1])
+        before[edges[full]] = True
+        after[edges[full + 1] - 1] = True
+        word = ~space
+        starts, stops = np.flatnonzero(word & before), np.flatnonzero(word & after) + 1
+        sums = np.zeros(n + 1, np.uint64)
+        np.cumsum((b.astype(np.uint64) + np.uint64(1)) * self.powers[:n], out=sums[1:])
+        hashes = mix64((sums[stops] - sums[starts]) * self.inverses[starts])
+        return Block(first, hashes, starts, edges, np.flatnonzero(b == 10))
+
+
 def shingle_hashes(h: np.ndarray, k: int) -> np.ndarray:
     """Hash of every run of ``k`` words by position; fewer words make one shingle, none make none."""
     if not len(h):
@@ -87,10 +138,15 @@ def shingle_hashes(h: np.ndarray, k: int) -> np.ndarray:
     n = len(h) - k + 1
     out = mix64(h[:n] + np.uint64(k))
     for i in range(1, k):
-        out = mix64(out * np.uint64(0x9E3779B97F4A7C15) + h[i : i + n])
+        out = mix64(out * MULTIPLIER + h[i : i + n])
     return out
 
 
+def hash_words(words: list[bytes]) -> np.ndarray:
+    """The hashes that Tokenizer gives these words."""
+    return next(Tokenizer().blocks(pa.array([b" ".join(words).decode()]))).hashes if words else np.zeros(0, np.uint64)
+
+
 def sorted_groups(df: DataFrame, keys: list[str], order: list[str], schema: str, fn: Callable[[tuple, list], Iterable[dict]], partitions: int | None = None) -> DataFrame:
     """``fn(key, rows)`` for each group of the columns ``keys``, rows (as tuples) in ``order``.
 
@@ -126,3 +182,36 @@ def sorted_groups(df: DataFrame, keys: list[str], order: list[str], schema: str,
         yield flush()
 
     return dealt.sortWithinPartitions(*keys, *order).mapInArrow(run, schema)
+
+
+def byte_table(rows: DataFrame, value: str, bits: int, part_bits: int = 12) -> np.ndarray:
+    """(bucket, value below 256) -> a byte for each of 2^bits buckets, gathered in parts of 2^part_bits bytes."""
+
+    def fill(key, found):
+        part = np.zeros(1 << part_bits, np.uint8)
+        part[[f[0] for f in found]] = [f[1] for f in found]
+        yield key[0], part.tobytes()
+
+    rows = rows.select(F.shiftright("bucket", part_bits).alias("part"), F.col("bucket").bitwiseAND((1 << part_bits) - 1).alias("at"), F.col(value).cast("int").alias("v"))
+    out = np.zeros(1 << bits, np.uint8)
+    for r in sorted_groups(rows, ["part"], ["at"], "part int, bytes binary", fill).collect():
+        out[r.part << part_bits : (r.part + 1) << part_bits] = np.frombuffer(r.bytes, np.uint8)
+    return out
+
+
+def count_hashes(batches, hashes_of: Callable[[pa.RecordBatch], Iterable[np.ndarray]], bits: int) -> Iterator[pa.RecordBatch]:
+    """A task's counts of hashes by bucket, as (bucket int, n long)."""
+    held = np.zeros(1 << bits, np.int32)
+    for b in batches:
+        for h in hashes_of(b):
+            np.add.at(held, (h & np.uint64(len(held) - 1)).astype(np.int64), 1)
+    some = np.flatnonzero(held)
+    for at in range(0, len(some), 100_000):
+        part = some[at : at + 100_000]
+        yield pa.RecordBatch.from_pydict({"bucket": pa.array(part, pa.int32()), "n": pa.array(held[part], pa.int64())})
+
+
+def rarity_table(counts: DataFrame, bits: int) -> np.ndarray:
+    """(bucket, n; a row for each task) -> by bucket, 1 + the power of two of its count (0: none)."""
+    sums = counts.groupBy("bucket").agg(F.sum("n").alias("n"))
+    return byte_table(sums.withColumn("level", F.floor(F.log2("n") + 1e-9) + 1), "level", bits)

@@ -5,11 +5,14 @@ class's shingles each walk their own pseudo-random permutation of the
 signature's components, offering the value (step + a fraction) to the component
 met at each step; the walks stop once no component can get smaller. Bands of
 five components are bucket keys. In each bucket every member is paired with the
-smallest; pairs are confirmed on full shingle sets and grouped; then members of
-a bucket that are still in different groups are paired and confirmed too. So
-members of one group are never paired with one another, and no candidate that
-could join two groups is left out. The number of bands follows the threshold:
-a pair at the threshold shares no band with a probability below ``MISS``.
+smallest; pairs are confirmed on full shingle sets and grouped by union-find.
+Where a bucket's members are still in different groups, an exact prefix join
+over their full sets finds the pairs that could join groups, and these are
+confirmed too: members of one group are never paired with one another, and no
+link between groups is left out. The number of bands follows the threshold: a
+pair at the threshold shares no band with a probability below ``MISS``. What is
+sent to all tasks are tables of fixed size: the bits of the documents whose sets
+are wanted, and the rarity of shingles by hash bucket.
 
 Defined results: a text that is null or has no words has an empty set, is
 linked with nothing and kept; a row without id takes no part and is kept, its
@@ -22,18 +25,19 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import xxhash
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trendloom.llm.common import WordHashes, map_batches, mix64, shingle_hashes, stage, words_of
+from trendloom.llm.common import MULTIPLIER, Tokenizer, byte_table, count_hashes, map_batches, mix64, rarity_table, shingle_hashes, stage
 from trendloom.llm.graph import components
 
 #: Components of a band, and the chance that a pair at the threshold shares no band.
 ROWS, MISS = 5, 1e-6
 #: Shingles that walk at once (bounds memory for very long texts).
 BLOCK = 1 << 15
-STEP = np.uint64(0x9E3779B97F4A7C15)
+#: Size, as a power of two, of the tables that are sent to all tasks.
+TABLE_BITS = 23
 
 
 def bands_for(threshold: float) -> int:
@@ -67,26 +71,25 @@ def band_keys(sig: np.ndarray, bands: int) -> np.ndarray:
     rows = sig.reshape(bands, -1)
     key = mix64(np.arange(1, bands + 1, dtype=np.uint64))
     for c in range(rows.shape[1]):
-        key = mix64(key * STEP + rows[:, c])
+        key = mix64(key * MULTIPLIER + rows[:, c])
     return key.view(np.int64)
 
 
-def shingle_set(hashes: WordHashes, text: str | None, k: int) -> np.ndarray:
-    return np.unique(shingle_hashes(hashes.array(words_of(text)), k))
-
-
 def _signatures(k: int, bands: int):
     def make():
-        hashes = WordHashes()
+        tokens = Tokenizer()
 
         def one(ids, texts):
             digest, n, keys = [], [], []
-            for text in texts.to_pylist():
-                words = words_of(text)
-                s = np.unique(shingle_hashes(hashes.array(words), k))
-                digest.append(xxhash.xxh3_128_digest(b" ".join(words)))
-                n.append(len(s))
-                keys.append(band_keys(super_min_hash(s, bands * ROWS), bands) if len(s) else None)
+            for block in tokens.blocks(texts):
+                h, at = block.hashes, block.bounds
+                place = np.arange(len(h), dtype=np.uint64)
+                for i, j in zip(at[:-1], at[1:], strict=True):
+                    s = np.unique(shingle_hashes(h[i:j], k))
+                    x = h[i:j] + (place[: j - i] + np.uint64(1)) * MULTIPLIER  # words in their order
+                    digest.append(np.array([mix64(x).sum(), mix64(x ^ MULTIPLIER).sum(), j - i], np.uint64).tobytes())
+                    n.append(len(s))
+                    keys.append(band_keys(super_min_hash(s, bands * ROWS), bands) if len(s) else None)
             return {"doc_id": ids, "digest": digest, "n_shingles": n, "bands": keys}
 
         return one
@@ -94,24 +97,85 @@ def _signatures(k: int, bands: int):
     return make
 
 
-def _sets(k: int):
+def place_of(ids: np.ndarray) -> np.ndarray:
+    """The bit of a document in the table of candidates."""
+    return (mix64(ids.astype(np.int64).view(np.uint64) * MULTIPLIER) & np.uint64((1 << TABLE_BITS) - 1)).astype(np.int64)
+
+
+def _bits():
+    return lambda ids: {"bucket": place_of(ids.to_numpy()).astype(np.int32)}
+
+
+def _sets(k: int, wanted: np.ndarray):
+    """The shingle sets of the documents whose bit is set."""
+
     def make():
-        hashes = WordHashes()
-        return lambda ids, texts: {"id": ids, "s": [shingle_set(hashes, t, k).view(np.int64) for t in texts.to_pylist()]}
+        tokens = Tokenizer()
+
+        def one(ids, texts):
+            hit = np.flatnonzero(wanted[place_of(ids.to_numpy(zero_copy_only=False))])
+            some = texts.take(pa.array(hit))
+            sets = [np.unique(shingle_hashes(b.hashes[i:j], k)).view(np.int64) for b in tokens.blocks(some) for i, j in zip(b.bounds[:-1], b.bounds[1:], strict=True)]
+            return {"id": ids.take(pa.array(hit)), "s": sets}
+
+        return one
 
     return make
 
 
-def confirm(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
+def _prefixes(levels: np.ndarray, percent: int):
+    """Of each set, ordered by rarity, the first n - ceil(t n) + 1 shingles that another set may hold."""
+
+    def make():
+        def one(ids, sets):
+            out: dict[str, list] = {c: [] for c in ("word", "id", "n", "at")}
+            flat, ends = sets.values.to_numpy(zero_copy_only=False).view(np.uint64), sets.offsets.to_numpy()
+            for i, lo, hi in zip(ids.to_numpy(), ends[:-1], ends[1:], strict=True):
+                s, n = flat[lo:hi], int(hi - lo)
+                level = levels[(s & np.uint64(len(levels) - 1)).astype(np.int64)]
+                order = np.lexsort((s, level))[: n - -(-n * percent // 100) + 1]
+                at = np.flatnonzero(level[order] > 1)
+                out["word"].append(s[order[at]].view(np.int64))
+                out["at"].append(at)
+                out["id"].append(np.full(len(at), i, np.int64))
+                out["n"].append(np.full(len(at), n, np.int64))
+            return {c: np.concatenate(v) if v else np.zeros(0, np.int64) for c, v in out.items()}
+
+        return one
+
+    return make
+
+
+def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) of ids whose full sets have 100 * intersection >= percent * union."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    texts = docs.join(ids, docs["doc_id"] == ids["id"], "left_semi").select("doc_id", "text")
-    sets = stage(map_batches(texts, "id long, s array<long>", _sets(k)), "mh-sets")
-    left, right = sets.select(F.col("id").alias("a"), F.col("s").alias("s")), sets.select(F.col("id").alias("b"), F.col("s").alias("t"))
+    left, right = sets.toDF("a", "s"), sets.toDF("b", "t")
     both = F.size(F.array_intersect("s", "t"))
     return pairs.join(left, "a").join(right, "b").where(100 * both >= percent * (F.size("s") + F.size("t") - both)).select("a", "b")
 
 
+def apart(open_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs of (id, g) with different g whose sets may be similar: an exact prefix join with length and position filters.
+
+    Texts that differ in a few places each have rare shingles of their own. These
+    come first, and are dropped as no other set holds them; what the texts share
+    comes too late for the positions to allow the overlap asked for.
+    """
+    some = stage(sets.join(open_.select("id"), "id", "left_semi"), "mh-open-sets")
+    count = lambda batches: count_hashes(batches, lambda b: [b.column(0).flatten().to_numpy(zero_copy_only=False).view(np.uint64)], TABLE_BITS)
+    levels = rarity_table(some.select("s").mapInArrow(count, "bucket int, n long"), TABLE_BITS)
+    entries = stage(map_batches(some, "word long, id long, n long, at long", _prefixes(levels, percent)).join(open_, "id"), "mh-entries")
+    x, y = entries.alias("x"), entries.alias("y")
+    both = F.col("x.n") + F.col("y.n")
+    near = (
+        (F.col("x.word") == F.col("y.word"))
+        & (F.col("x.id") < F.col("y.id"))
+        & (F.col("x.g") != F.col("y.g"))
+        & (100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n"))
+        & ((100 + percent) * F.least(F.col("x.n") - F.col("x.at"), F.col("y.n") - F.col("y.at")) >= percent * both)
+    )
+    return x.join(y, near).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, k: int = 3, percent: int = 85, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id, kept."""
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
@@ -119,25 +183,23 @@ def near_duplicates(docs: DataFrame, k: int = 3, percent: int = 85, doc_id: str
     full = rows.where("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = stage(full.groupBy("digest").agg(F.min("doc_id").alias("rep")), "mh-classes")
     chosen = full.join(classes.select("digest", F.col("rep").alias("doc_id")), ["digest", "doc_id"], "left_semi")
-    banded = stage(chosen.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), F.explode("bands").alias("key")).distinct(), "mh-bands")
+    banded = stage(chosen.select(F.col("doc_id").alias("id"), F.explode("bands").alias("key")).distinct(), "mh-bands")
     buckets = stage(banded.groupBy("key").agg(F.min("id").alias("low"), F.count("*").alias("size")).where("size > 1"), "mh-buckets")
-    fits = lambda a, b: 100 * F.least(a, b) >= percent * F.greatest(a, b)
-
     member = stage(banded.join(buckets, "key"), "mh-members")
-    star = stage(member.where("id <> low").select(F.col("low").alias("a"), F.col("id").alias("b")).distinct(), "mh-star")
-    links = stage(confirm(star, docs, k, percent), "mh-links")
+    wanted = byte_table(map_batches(member.select("id").distinct(), "bucket int", _bits).distinct().withColumn("on", F.lit(1)), "on", TABLE_BITS)
+    sets = stage(map_batches(docs.where("doc_id IS NOT NULL"), "id long, s array<long>", _sets(k, wanted)), "mh-sets")
+
+    star = member.where("id <> low").select(F.col("low").alias("a"), F.col("id").alias("b")).distinct()
+    links = stage(confirm(star, sets, percent), "mh-links")
     groups = stage(components(links, "mh-cc"), "mh-groups")
 
-    named = member.join(groups.withColumnRenamed("node", "id"), "id", "left").withColumn("g", F.coalesce("component", "id"))
-    named = stage(named.select("key", "id", "n", "low", "g"), "mh-named")
+    named = stage(member.join(groups.withColumnRenamed("node", "id"), "id", "left").select("key", "id", F.coalesce("component", "id").alias("g")), "mh-named")
     mixed = stage(named.groupBy("key").agg(F.min("g").alias("p"), F.max("g").alias("q"), F.count("*").alias("c")).where("p <> q AND c > 2").select("key"), "mh-mixed")
-    open_ = stage(named.where("id <> low").join(mixed, "key", "left_semi").select("key", "id", "n", "g"), "mh-open")
-    x, y = open_.alias("x"), open_.alias("y")
-    rest = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.id") < F.col("y.id")) & (F.col("x.g") != F.col("y.g")) & fits(F.col("x.n"), F.col("y.n")))
-    rest = stage(rest.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct(), "mh-rest")
-    if not rest.isEmpty():
-        links = links.unionByName(stage(confirm(rest, docs, k, percent), "mh-links"))
-        groups = stage(components(links, "mh-cc"), "mh-groups")
+    open_ = stage(named.join(mixed, "key", "left_semi").select("id", "g").distinct(), "mh-open")
+    if not open_.isEmpty():
+        more = stage(confirm(apart(open_, sets, percent), sets, percent), "mh-more")
+        if not more.isEmpty():
+            groups = stage(components(links.unionByName(more), "mh-cc"), "mh-groups")
 
     class_of = classes.join(groups.withColumnRenamed("node", "rep"), "rep", "left").select("digest", F.coalesce("component", "rep").alias("component"))
     class_of = stage(class_of, "mh-class-of")
