@@ -17,6 +17,7 @@ are judged one by one; very long texts are read piece by piece, wholly.
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,6 +32,8 @@ SAMPLE, LANDMARKS, RIDGE = 4096, 256, 1e-2
 PIECE, BATCH = 1 << 20, 128
 #: Sharpness of the scores' soft maximum.
 SHARP = 4.0
+#: Score below which a filter takes a text for no language: hardly above an even choice among four.
+LEAST_SCORE = 0.3
 
 
 def presence(texts: list[str]) -> np.ndarray:
@@ -112,27 +115,50 @@ def fit(docs: DataFrame, doc_id: str, text: str, lang: str, sample: int = SAMPLE
     return langs, (marks.T.astype(np.float64) @ coef).astype(np.float32)
 
 
+def judge(langs: list[str], matrix: np.ndarray):
+    """texts -> (languages, scores)."""
+
+    def texts_of(texts: list[str | None]) -> tuple[list[str], list[float]]:
+        pred, score = ["und"] * len(texts), [0.0] * len(texts)
+        known = [i for i, t in enumerate(texts) if langs and has_letter(t)]
+        for at in range(0, len(known), BATCH):
+            some = known[at : at + BATCH]
+            x = presence([texts[i] for i in some]).astype(np.float32)
+            s = np.round((x @ matrix).astype(np.float64) / np.sqrt(x.sum(1, dtype=np.float64))[:, None], 5)
+            p = np.exp(SHARP * (s - s.max(1, keepdims=True)))
+            p /= p.sum(1, keepdims=True)
+            for i, k, v in zip(some, s.argmax(1), p.max(1), strict=True):
+                pred[i], score[i] = langs[k], round(float(v), 4)
+        return pred, score
+
+    return texts_of
+
+
 def identify(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", **bounds) -> DataFrame:
     """doc_id, held_out, lang_pred and score (0 to 1); learned from the rows that are not held out."""
     langs, matrix = fit(docs, doc_id, text, lang, **bounds)
 
-    def judge():
+    def make():
+        of = judge(langs, matrix)
+
         def one(ids, out, texts):
-            pred, score = ["und"] * len(ids), [0.0] * len(ids)
-            all_texts = texts.to_pylist()
-            known = [i for i, t in enumerate(all_texts) if langs and has_letter(t)]
-            for at in range(0, len(known), BATCH):
-                some = known[at : at + BATCH]
-                x = presence([all_texts[i] for i in some]).astype(np.float32)
-                s = (x @ matrix).astype(np.float64) / np.sqrt(x.sum(1, dtype=np.float64))[:, None]
-                s = np.round(s, 5)
-                p = np.exp(SHARP * (s - s.max(1, keepdims=True)))
-                p /= p.sum(1, keepdims=True)
-                for i, k, v in zip(some, s.argmax(1), p.max(1), strict=True):
-                    pred[i], score[i] = langs[k], round(float(v), 4)
+            pred, score = of(texts.to_pylist())
             return {"doc_id": ids, "held_out": out, "lang_pred": pred, "score": score}
 
         return one
 
     rows = docs.select(F.col(doc_id).alias("doc_id"), held_out(doc_id).alias("held_out"), F.col(text).alias("text"))
-    return map_batches(rows, "doc_id long, held_out boolean, lang_pred string, score double", judge)
+    return map_batches(rows, "doc_id long, held_out boolean, lang_pred string, score double", make)
+
+
+def keep_identified(docs: DataFrame, least: float = LEAST_SCORE, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", **bounds) -> DataFrame:
+    """The rows of ``docs``, all columns, whose text has a language with a score of at least ``least``."""
+    langs, matrix = fit(docs, doc_id, text, lang, **bounds)
+
+    def run(batches):
+        of = judge(langs, matrix)
+        for b in batches:
+            pred, score = of(b.column(b.schema.get_field_index(text)).to_pylist())
+            yield b.filter(pa.array([p != "und" and s >= least for p, s in zip(pred, score, strict=True)], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -7,121 +7,139 @@ word among the first n - ceil(4n/5) + 1 of each. Only these prefixes are joined,
 by word, under filters that lose nothing: length, position (words that can still
 be shared) and a 64-bit signature (bits that differ bound the words that
 differ). Words that no other line has can't be shared and are left out. The
-counts are kept by hash bucket in a table of fixed size, so what is broadcast
-has a bound; buckets that share a count only make the order less sharp. Pairs
-that pass are verified on the words themselves, and a line goes if any earlier
+pairs that pass are verified on the full sets, and a line goes if any earlier
 one (by doc_id, then line number) is similar to it.
 
+Two tables of fixed size are sent to all tasks: the rarity of words by hash
+bucket (buckets that words share make the order less sharp, nothing else), and
+the bits of the lines whose full sets are wanted (bits that lines share cost
+some sets that nobody asks for).
+
 Defined results: blank lines are never similar to any and stay; a null text
 stays null; rows without id are left as they are; rows that repeat an id are one
-document (lines aren't compared with themselves); an empty table gives no rows.
+document (a line isn't compared with itself); an empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trendloom.llm.common import WordHashes, lower_ascii, map_batches, mix64, stage
+from trendloom.llm.common import MULTIPLIER, Tokenizer, byte_table, count_hashes, map_batches, mix64, rarity_table, stage
 
-#: Buckets of the word counts, and lines that are sorted at once.
-BUCKET_BITS, LINES = 20, 4096
-#: Sort key: 12 bits line, 6 bits rarity, 46 bits of the word's hash.
-TOKEN_BITS = 46
+#: Buckets of the rarity table and of the table of wanted lines, as powers of two.
+RARITY_BITS, WANTED_BITS = 23, 23
+#: Sort key: 12 bits line, 6 bits rarity, 46 bits of the word's hash; so 4096 lines are sorted at once.
+LINES, TOKEN_BITS = 4096, 46
 
 
-def word_counts(docs: DataFrame) -> np.ndarray:
-    """Occurrences of all words of all documents by hash bucket."""
+def rarity(docs: DataFrame) -> np.ndarray:
+    """The rarity of words, counted over all documents."""
 
-    def run(batches):
-        hashes, held = WordHashes(), np.zeros(1 << BUCKET_BITS, np.int64)
-        for b in batches:
-            for text in b.column(0).to_pylist():
-                if text:
-                    at = (hashes.array(text.encode().lower().split()) & np.uint64((1 << BUCKET_BITS) - 1)).astype(np.int64)
-                    np.add.at(held, at, 1)
-        some = np.flatnonzero(held)
-        yield pa.RecordBatch.from_pydict({"bucket": pa.array(some, pa.int32()), "n": pa.array(held[some], pa.int64())})
+    def count(batches):
+        tokens = Tokenizer()
+        return count_hashes(batches, lambda b: (block.hashes for block in tokens.blocks(b.column(0))), RARITY_BITS)
+
+    return rarity_table(docs.select("text").mapInArrow(count, "bucket int, n long"), RARITY_BITS)
 
-    found = docs.select("text").mapInArrow(run, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
-    out = np.zeros(1 << BUCKET_BITS, np.int64)
-    out[found["bucket"].to_numpy()] = found["n"].to_numpy()
-    return out
+
+def line_sets(block, levels: np.ndarray | None):
+    """Sets of the block's lines, LINES at a time: (document in the block, line number, sort key, owner, set sizes, set starts)."""
+    doc = np.searchsorted(block.edges, block.starts, "right") - 1
+    before = np.searchsorted(block.lines, block.starts)  # line ends before the word
+    number = before - np.searchsorted(block.lines, block.edges)[doc]
+    if not len(doc):
+        return
+    new = np.concatenate([[True], (doc[1:] != doc[:-1]) | (number[1:] != number[:-1])])
+    first = np.flatnonzero(new)
+    line = np.cumsum(new) - 1
+    for at in range(0, len(first), LINES):
+        lo, hi = first[at], first[at + LINES] if at + LINES < len(first) else len(doc)
+        h = block.hashes[lo:hi]
+        key = ((line[lo:hi] - at).astype(np.uint64) << np.uint64(64 - 12)) | (h >> np.uint64(64 - TOKEN_BITS))
+        if levels is not None:
+            key |= levels[(h & np.uint64(len(levels) - 1)).astype(np.int64)].astype(np.uint64) << np.uint64(TOKEN_BITS)
+        key = np.unique(key)
+        owner = (key >> np.uint64(64 - 12)).astype(np.int64)
+        start = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
+        heads = first[at : at + LINES]
+        yield doc[heads], number[heads], key, owner, np.diff(np.append(start, len(key))), start
 
 
 def _prefixes(levels: np.ndarray):
     """For each line with words: its set's digest, size and signature, and its prefix from word ``skip`` on."""
 
     def make():
-        hashes = WordHashes()
-
-        def block(words: list[bytes], sizes: list[int]) -> tuple:
-            h = hashes.array(words)
-            line = np.repeat(np.arange(len(sizes), dtype=np.uint64), sizes)
-            level = levels[(h & np.uint64((1 << BUCKET_BITS) - 1)).astype(np.int64)].astype(np.uint64)
-            key = np.unique((line << np.uint64(52)) | (level << np.uint64(TOKEN_BITS)) | (h >> np.uint64(64 - TOKEN_BITS)))
-            owner = (key >> np.uint64(52)).astype(np.int64)
-            n = np.bincount(owner, minlength=len(sizes))
-            start = np.cumsum(n) - n
-            token = key & np.uint64((1 << TOKEN_BITS) - 1)
-            a, b = np.add.reduceat(mix64(token + np.uint64(1)), start), np.add.reduceat(mix64(token ^ np.uint64(0x5555555555555555)), start)
-            sig = np.bitwise_or.reduceat(np.uint64(1) << (token & np.uint64(63)), start)
-            alone = ((key >> np.uint64(TOKEN_BITS)) & np.uint64(63)) == 0
-            skip = np.bincount(owner[alone], minlength=len(sizes))
-            length = n - (4 * n + 4) // 5 + 1
-            place = np.arange(len(key)) - start[owner]
-            use = (place < length[owner]) & ~alone
-            kept = np.bincount(owner[use], minlength=len(sizes))
-            return a.view(np.int64), b.view(np.int64), n, sig.view(np.int64), skip, kept, token[use].view(np.int64)
+        tokens = Tokenizer()
 
         def one(ids, texts):
-            rows, parts = [], []
-            words, sizes = [], []
-
-            def close():
-                if sizes:
-                    parts.append(block(words, sizes))
-                    words.clear()
-                    sizes.clear()
-
-            for i, text in zip(ids.to_pylist(), texts.to_pylist(), strict=True):
-                if text is None:
-                    continue
-                for no, line in enumerate(text.encode().lower().split(b"\n")):
-                    if w := line.split():
-                        rows.append((i, no))
-                        words.extend(w)
-                        sizes.append(len(w))
-                        if len(sizes) == LINES:
-                            close()
-            close()
-            col = lambda j: np.concatenate([p[j] for p in parts]) if parts else np.zeros(0, np.int64)
-            ends = np.concatenate([[0], np.cumsum(col(5))]).astype(np.int32)
-            return {"doc_id": [r[0] for r in rows], "line": [r[1] for r in rows], "d1": col(0), "d2": col(1), "n": col(2), "sig": col(3), "skip": col(4), "words": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(col(6), pa.int64()))}
+            doc_id, parts = ids.to_numpy(zero_copy_only=False), []
+            for block in tokens.blocks(texts):
+                for doc, number, key, owner, n, start in line_sets(block, levels):
+                    token = key & np.uint64((1 << TOKEN_BITS) - 1)
+                    a, b = np.add.reduceat(mix64(token + np.uint64(1)), start), np.add.reduceat(mix64(token ^ MULTIPLIER), start)
+                    sig = np.bitwise_or.reduceat(np.uint64(1) << (token & np.uint64(63)), start)
+                    alone = ((key >> np.uint64(TOKEN_BITS)) & np.uint64(63)) == 1
+                    skip = np.add.reduceat(alone.astype(np.int32), start)
+                    use = (np.arange(len(key)) - start[owner] < (n - (4 * n + 4) // 5 + 1)[owner]) & ~alone
+                    ids_ = doc_id[doc + block.first]
+                    order = np.lexsort((number, ids_, b, a))  # of equal sets in a document only the first is told from copies here
+                    same = np.zeros(len(order), bool)
+                    same[order[1:]] = (a[order[1:]] == a[order[:-1]]) & (b[order[1:]] == b[order[:-1]]) & (ids_[order[1:]] == ids_[order[:-1]])
+                    use &= ~same[owner]
+                    parts.append((ids_, number, a.view(np.int64), b.view(np.int64), same, n, sig.view(np.int64), skip, np.add.reduceat(use.astype(np.int32), start), token[use].view(np.int64)))
+            col = lambda j, t=np.int64: np.concatenate([p[j] for p in parts]).astype(t) if parts else np.zeros(0, t)
+            ends = np.concatenate([[0], np.cumsum(col(8))]).astype(np.int32)
+            return {"doc_id": col(0), "line": col(1, np.int32), "d1": col(2), "d2": col(3), "again": pa.array(col(4, bool)), "n": col(5, np.int32), "sig": col(6), "skip": col(7, np.int32), "words": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(col(9), pa.int64()))}
 
         return one
 
     return make
 
 
-def line_words(line: Column) -> Column:
-    return F.array_distinct(F.filter(F.split(lower_ascii(line), r"[\x20\x09-\x0D]+"), lambda w: w != ""))
+def place_of(doc_id: np.ndarray, line: np.ndarray) -> np.ndarray:
+    """The bit of a line in the table of wanted lines."""
+    return (mix64(doc_id.astype(np.int64).view(np.uint64) * MULTIPLIER + line.astype(np.uint64)) & np.uint64((1 << WANTED_BITS) - 1)).astype(np.int64)
+
+
+def _wanted():
+    return lambda ids, line: {"bucket": place_of(ids.to_numpy(), line.to_numpy()).astype(np.int32)}
+
+
+def _full_sets(wanted: np.ndarray):
+    """The full sets of the lines whose bit is set."""
+
+    def make():
+        tokens = Tokenizer()
+
+        def one(ids, texts):
+            doc_id, parts = ids.to_numpy(zero_copy_only=False), []
+            for block in tokens.blocks(texts):
+                for doc, number, key, owner, n, _ in line_sets(block, None):
+                    ids_ = doc_id[doc + block.first]
+                    hit = wanted[place_of(ids_, number)] > 0
+                    parts.append((ids_[hit], number[hit], n[hit], (key & np.uint64((1 << TOKEN_BITS) - 1))[hit[owner]].view(np.int64)))
+            col = lambda j, t=np.int64: np.concatenate([p[j] for p in parts]).astype(t) if parts else np.zeros(0, t)
+            ends = np.concatenate([[0], np.cumsum(col(2))]).astype(np.int32)
+            return {"doc_id": col(0), "line": col(1, np.int32), "w": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(col(3), pa.int64()))}
+
+        return one
+
+    return make
 
 
 def later_matches(docs: DataFrame) -> DataFrame:
     """(doc_id, line) of every line that is similar to an earlier one; ``docs`` has doc_id and text."""
-    docs = docs.where("doc_id IS NOT NULL")
-    counts = word_counts(docs)
-    levels = np.floor(np.log2(np.maximum(counts, 1))).astype(np.uint8)
-    lines = stage(map_batches(docs, "doc_id long, line int, d1 long, d2 long, n int, sig long, skip int, words array<long>", _prefixes(levels)), "ln-lines")
-    classes = lines.groupBy("d1", "d2").agg(F.min(F.struct("doc_id", "line")).alias("first")).select("d1", "d2", "first.*")
-    classes = stage(classes, "ln-classes")
-    first = lines.join(classes, ["d1", "d2", "doc_id", "line"], "left_semi")
-    copies = lines.select("d1", "d2", "doc_id", "line").join(classes, ["d1", "d2", "doc_id", "line"], "left_anti").select("doc_id", "line")
-
-    entries = stage(first.where("n > 3 AND size(words) > 0").select("doc_id", "line", "n", "sig", F.col("skip"), F.posexplode("words").alias("at", "word")).select("word", "doc_id", "line", "n", "sig", (F.col("skip") + F.col("at")).alias("at")), "ln-entries")
+    docs = docs.where("doc_id IS NOT NULL AND text IS NOT NULL")
+    lines = stage(map_batches(docs, "doc_id long, line int, d1 long, d2 long, again boolean, n int, sig long, skip int, words array<long>", _prefixes(rarity(docs))), "ln-lines")
+    classes = stage(lines.groupBy("d1", "d2").agg(F.min("doc_id").alias("first")), "ln-classes")
+    lines = stage(lines.join(classes, ["d1", "d2"]).select("doc_id", "line", (F.col("again") | (F.col("doc_id") > F.col("first"))).alias("copy"), "n", "sig", "skip", "words"), "ln-told")
+    copies = lines.where("copy").select("doc_id", "line")
+
+    entries = lines.where("NOT copy AND n > 3 AND size(words) > 0").select("doc_id", "line", "n", "sig", "skip", F.posexplode("words").alias("at", "word"))
+    entries = entries.select("word", "doc_id", "line", "n", "sig", (F.col("skip") + F.col("at")).alias("at"))
     x, y = entries.alias("x"), entries.alias("y")
     both = F.col("x.n") + F.col("y.n")
     near = (
@@ -133,34 +151,61 @@ def later_matches(docs: DataFrame) -> DataFrame:
     )
     pairs = x.join(y, near).select(F.col("x.doc_id").alias("a"), F.col("x.line").alias("i"), F.col("y.doc_id").alias("b"), F.col("y.line").alias("j")).distinct()
     pairs = stage(pairs, "ln-pairs")
-    wanted = pairs.select(F.explode(F.array(F.struct(F.col("a").alias("doc_id"), F.col("i").alias("line")), F.struct(F.col("b").alias("doc_id"), F.col("j").alias("line")))).alias("w")).select("w.*").distinct()
-    got = wanted.join(docs, "doc_id").select("doc_id", "line", line_words(F.get(F.split("text", "\n"), F.col("line"))).alias("w"))
-    got = stage(got, "ln-got")
-    left, right = got.toDF("a", "i", "w"), got.toDF("b", "j", "v")
+    ends = pairs.select(F.explode(F.array(F.struct(F.col("a").alias("doc_id"), F.col("i").alias("line")), F.struct(F.col("b").alias("doc_id"), F.col("j").alias("line")))).alias("w")).select("w.*")
+    wanted = byte_table(map_batches(ends, "bucket int", _wanted).distinct().withColumn("on", F.lit(1)), "on", WANTED_BITS)
+    sets = stage(map_batches(docs.select("doc_id", "text"), "doc_id long, line int, w array<long>", _full_sets(wanted)), "ln-sets")
+    left, right = sets.toDF("a", "i", "w"), sets.toDF("b", "j", "v")
     shared = F.size(F.array_intersect("w", "v"))
     similar = pairs.join(left, ["a", "i"]).join(right, ["b", "j"]).where(5 * shared >= 4 * (F.size("w") + F.size("v") - shared))
-    # classes: what goes with a class's first line goes with all of its lines, which are copies anyway
+    # copies of a class's first line go with it or without it: they are copies anyway
     return copies.unionByName(similar.select(F.col("b").alias("doc_id"), F.col("j").alias("line"))).distinct()
 
 
-def _cut():
-    def one(ids, texts, gone):
-        out, total, cut = [], [], []
-        for text, g in zip(texts.to_pylist(), gone.to_pylist(), strict=True):
-            parts = [] if text is None else text.split("\n")
-            total.append(len(parts))
-            cut.append(len(g or ()))
-            if g:
-                gone_set = set(g)
-                text = "\n".join(p for i, p in enumerate(parts) if i not in gone_set)
-            out.append(text)
-        return {"doc_id": ids, "n_lines": total, "n_removed": cut, "text": out}
+def _without(texts: pa.Array, gone: pa.Array) -> tuple[list, list, list]:
+    """Texts without the lines listed, their line counts before, and how many went."""
+    out, total, cut = [], [], []
+    for text, g in zip(texts.to_pylist(), gone.to_pylist(), strict=True):
+        total.append(0 if text is None else text.count("\n") + 1)
+        cut.append(len(g or ()))
+        if g:
+            drop = set(g)
+            text = "\n".join(p for i, p in enumerate(text.split("\n")) if i not in drop)
+        out.append(text)
+    return out, total, cut
 
-    return one
+
+def gone_lines(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """(doc_id, gone): the numbers of the lines that go, for documents that lose any."""
+    found = later_matches(docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")))
+    return stage(found, "ln-gone").groupBy("doc_id").agg(F.collect_list("line").alias("gone"))  # at most a document's lines
 
 
 def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of ``docs``: doc_id, n_lines, n_removed, text without the removed lines."""
+    gone = gone_lines(docs, doc_id, text)
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    gone = stage(later_matches(docs), "ln-gone").groupBy("doc_id").agg(F.collect_list("line").alias("gone"))  # at most a document's lines
-    return map_batches(docs.join(gone, "doc_id", "left").select("doc_id", "text", "gone"), "doc_id long, n_lines int, n_removed int, text string", _cut)
+
+    def make():
+        def one(ids, texts, lines):
+            out, total, cut = _without(texts, lines)
+            return {"doc_id": ids, "n_lines": total, "n_removed": cut, "text": out}
+
+        return one
+
+    return map_batches(docs.join(gone, "doc_id", "left").select("doc_id", "text", "gone"), "doc_id long, n_lines int, n_removed int, text string", make)
+
+
+def drop_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs``, all columns, without the removed lines; a document that loses all its words goes."""
+    gone = gone_lines(docs, doc_id, text).toDF("_doc", "_gone")
+    schema, joined = docs.schema, docs.join(gone, F.col(doc_id) == F.col("_doc"), "left").drop("_doc")
+
+    def run(batches):
+        for b in batches:
+            at = b.schema.get_field_index(text)
+            out, _, cut = _without(b.column(at), b.column(b.num_columns - 1))
+            cols = [pa.array(out, b.schema.field(i).type) if i == at else b.column(i) for i in range(b.num_columns - 1)]
+            left = pa.RecordBatch.from_arrays(cols, schema=pa.schema([b.schema.field(i) for i in range(b.num_columns - 1)]))
+            yield left.filter(pa.array([not c or bool(t.strip(" \t\n\x0b\x0c\r")) for c, t in zip(cut, out, strict=True)], pa.bool_()))
+
+    return joined.mapInArrow(run, schema)
