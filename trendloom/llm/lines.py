@@ -87,7 +87,7 @@ def _prefixes(levels: np.ndarray):
                     ids_ = doc_id[doc + block.first]
                     order = np.lexsort((number, ids_, b, a))  # of equal sets in a document only the first is told from copies here
                     same = np.zeros(len(order), bool)
-                    same[order[1:]] = (a[order[1:]] == a[order[:-1]]) & (b[order[1:]] == b[order[:-1]]) & (ids_[order[1:]] == ids_[order[:-1]])
+                    same[order[1:]] = (a[order[1:]] == a[order[:-1]]) & (b[order[1:]] == b[order[:-1]]) & (ids_[order[1:]] == ids_[order[:-1]]) & (number[order[1:]] != number[order[:-1]])  # not of rows that repeat
                     use &= ~same[owner]
                     parts.append((ids_, number, a.view(np.int64), b.view(np.int64), same, n, sig.view(np.int64), skip, np.add.reduceat(use.astype(np.int32), start), token[use].view(np.int64)))
             col = lambda j, t=np.int64: np.concatenate([p[j] for p in parts]).astype(t) if parts else np.zeros(0, t)
