@@ -216,17 +216,6 @@ def test_observed_counts(spark):
     assert obs.get["rows"] == 7
 
 
-def test_spread_only_when_few_splits(spark):
-    from trendloom.operators.partitioning import spread
-
-    one = spark.range(100).coalesce(1)
-    spread_out = spread(one, 4)
-    assert spread_out.rdd.getNumPartitions() == 4
-    assert sorted(r.id for r in spread_out.collect()) == list(range(100))
-    many = spark.range(100).repartition(8)
-    assert spread(many, 4) is many
-
-
 def test_isin_and_is_empty(spark):
     from trendloom.operators.filters import is_empty, isin_filter
 

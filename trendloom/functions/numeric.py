@@ -52,11 +52,8 @@ def digits_only(c: Column | str, dtype: T.DataType | None = None) -> Column:
 def strict_int(c: Column | str, what: str = "value") -> Column:
     """X11: cast to INT and fail the job on null or malformed values."""
     c = _col(c)
-    v = c.try_cast("int")
+    d = c.try_cast("double")  # "1990.0" is whole; a fraction is cut off, as int() of a float does
+    v = F.coalesce(c.try_cast("int"), F.when(F.isnan(d), None).otherwise(d).try_cast("int"))
     return F.when(
         v.isNull(), F.raise_error(F.lit(f"cannot convert {what} to int (null or malformed)"))
     ).otherwise(v)
-
-
-def dtype_of(df: DataFrame, name: str) -> T.DataType:
-    return df.schema[name].dataType

@@ -78,7 +78,11 @@ def first_artist(c: Column | str) -> Column:
         (s.startswith("'") | s.startswith('"')) & (F.size(wrapped) == 1),
         strip_whitespace(F.get(wrapped, 0)),
     )
+    # lists that JSON rejects (None items, a trailing comma): the quoted text that opens the list
+    opened = F.regexp_extract(s, r"""^\[\s*(?:'((?:[^'\\]|\\.)*+)'|"((?:[^"\\]|\\.)*+)")\s*[,\]].*\]$""", 0) != ""
+    quoted = F.coalesce(*[F.nullif(F.regexp_extract(s, p, 1), F.lit("")) for p in (r"""^\[\s*'((?:[^'\\]|\\.)*+)'""", r"""^\[\s*"((?:[^"\\]|\\.)*+)\"""")], F.lit(""))
+    from_opened = F.when(opened, strip_whitespace(F.regexp_replace(quoted, r"""\\(['"\\])""", "$1")))
     unbracketed = strip_chars(s, "[]")
     before_comma = F.substring_index(unbracketed, ",", 1)
     fallback = strip_chars(before_comma, " '\"")
-    return F.coalesce(from_list, from_scalar, fallback)
+    return F.coalesce(from_list, from_scalar, from_opened, fallback)

@@ -6,7 +6,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from trendloom.functions.numeric import to_int64
 from trendloom.functions.text import blank_default
 from trendloom.operators.columns import clean_by_type, require_columns
 
@@ -18,6 +20,9 @@ def sum_streams_by(df: DataFrame, key: str, key_default: str,
     P15 first (text null -> 'unknown', value coerced to BIGINT), then the
     blank-key defaults of the reference's mapper (X10).
     """
+    require_columns(df, [gen_col, key, value_col])
+    if isinstance(df.schema[value_col].dataType, T.StringType):  # by its role a number, whatever the file says
+        df = df.withColumn(value_col, to_int64(value_col))
     slim = clean_by_type(df, [gen_col, key, value_col])
     return slim.groupBy(
         blank_default(gen_col, "unknown").alias("generation"),
@@ -25,16 +30,6 @@ def sum_streams_by(df: DataFrame, key: str, key_default: str,
     ).agg(F.sum(value_col).alias("total_streams"))
 
 
-def streams_by_generation_platform(tracks: DataFrame) -> DataFrame:
-    """A1."""
-    return sum_streams_by(tracks, "platform", "unknown")
-
-
-def streams_by_generation_artist(tracks: DataFrame) -> DataFrame:
-    """A2."""
-    return sum_streams_by(tracks, "artist", "Unknown Artist")
-
-
 def count_by(df: DataFrame, keys: list[str], name: str = "count", dropna: bool = True) -> DataFrame:
     """A3/A4/A5: row count per key; rows with a null key are dropped like a
     pandas groupby unless ``dropna=False``."""

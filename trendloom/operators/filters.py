@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from trendloom.functions.decades import YEAR_MAX, YEAR_MIN
 from trendloom.functions.text import split_fields
@@ -51,24 +52,26 @@ def equals_filter(df: DataFrame, col: str, value) -> DataFrame:
 
 def range_filter(df: DataFrame, col: str, lo=None, hi=None,
                  truncate_bounds: bool = False) -> DataFrame:
-    """inclusive range; missing bounds default to the data's own min/max.
+    """inclusive range; a null or NaN is in no range.
 
-    Defaults are floor(min)/ceil(max) so nothing is dropped (D7);
-    ``truncate_bounds=True`` takes int() of both, like the reference slider.
+    A missing bound holds every value, as floor(min) or ceil(max) would (D7),
+    and needs no pass over the data. ``truncate_bounds=True`` takes int() of
+    the data's own min and max, like the reference slider (NaN left out).
     """
     c = F.col(col)
-    if lo is None or hi is None:
-        if truncate_bounds:
-            lo_e, hi_e = F.min(c).cast("double").try_cast("bigint"), F.max(c).cast("double").try_cast("bigint")
-        else:
-            lo_e, hi_e = F.floor(F.min(c)), F.ceil(F.max(c))
-        # both bounds from one scalar subquery: one extra pass, not two
-        bounds = df.agg(F.struct(lo_e.alias("lo"), hi_e.alias("hi")).alias("b")).scalar()
+    real = isinstance(df.schema[col].dataType, (T.DoubleType, T.FloatType))
+    value = F.nanvl(c, F.lit(None).cast("double")) if real else c
+    if truncate_bounds and (lo is None or hi is None):
+        ends = [f(value).cast("double").try_cast("bigint") for f in (F.min, F.max)]
+        bounds = df.agg(F.struct(ends[0].alias("lo"), ends[1].alias("hi")).alias("b")).scalar()
         lo = bounds.getField("lo") if lo is None else lo
         hi = bounds.getField("hi") if hi is None else hi
-    lo = lo if isinstance(lo, Column) else F.lit(lo)
-    hi = hi if isinstance(hi, Column) else F.lit(hi)
-    return df.filter(c.between(lo, hi))
+    held = value.isNotNull()
+    if lo is not None:
+        held &= c >= lo
+    if hi is not None:
+        held &= c <= hi
+    return df.filter(held)
 
 
 def isin_filter(df: DataFrame, col: str, values: list) -> DataFrame:
@@ -76,11 +79,6 @@ def isin_filter(df: DataFrame, col: str, values: list) -> DataFrame:
     return df.filter(F.col(col).isin(list(values)))
 
 
-def drop_null(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Drop rows where any of ``cols`` is null."""
-    return df.dropna(subset=list(cols))
-
-
 def is_empty(df: DataFrame) -> bool:
     """empty-result test (a LIMIT 1 job, never a full count)."""
     return df.isEmpty()

@@ -21,11 +21,6 @@ def order_decades(df: DataFrame, col: str = "generation", *then) -> DataFrame:
     return df.orderBy(decade_sort_key(F.col(col)), F.col(col), *then)
 
 
-def order_lexicographic(df: DataFrame, col: str = "generation") -> DataFrame:
-    """Plain ascending order."""
-    return df.orderBy(col)
-
-
 def top_rows(df: DataFrame, order_col: str, n: int, tie_break: list[str] | None = None) -> DataFrame:
     """The n rows with the largest ``order_col`` (nulls last).
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from trendloom.functions.decades import decade_open, year_from_text
 from trendloom.functions.genres import GENRE_RULES_BATCH, GENRE_RULES_DASHBOARD, macro_genre
@@ -160,7 +161,7 @@ def q_gen_artist(spark, d):
 
 
 def q_gen_platform_pivot(spark, d):
-    return reports.streams_by_decade_platform(_stats(spark, d), ["A", "N", "R"])
+    return reports.streams_by_decade_platform(_stats(spark, d))
 
 
 def q_genre_counts_gen(spark, d):
@@ -263,6 +264,43 @@ def q_build_files(spark, d):
     return read_csv(spark, outs["top_artists_by_gen"], "generation string, artist string, total_streams bigint")
 
 
+def _written(spark, layout, **frames):
+    from trendloom.sources.writers import write_csv
+    for name, df in frames.items():
+        write_csv(df, getattr(layout, name))
+    return layout
+
+
+def q_metric_trend_files(spark, d):
+    from trendloom.sources.layout import Layout
+    from trendloom.sources.readers import load_generation_stats
+    lay = _written(spark, Layout(_roundtrip_dir(spark, "r7")), generation_stats=_stats(spark, d))
+    return reports.metric_trend(load_generation_stats(spark, lay))
+
+
+def q_top_n_one_gen_files(spark, d):
+    from trendloom.sources.layout import Layout
+    from trendloom.sources.readers import load_top_artists
+    lay = _written(spark, Layout(_roundtrip_dir(spark, "r8")), artist_trends=_trends(spark, d))
+    return reports.top_n_one_generation(load_top_artists(spark, lay), "1990s", n=10)
+
+
+def q_slice_year_counts_file(spark, d):
+    from trendloom.sources.layout import Layout
+    from trendloom.sources.readers import load_enriched
+    lay = _written(spark, Layout(_roundtrip_dir(spark, "r6")), enriched_tracks=enriched_tracks(spark, d))
+    return reports.drilldown(load_enriched(spark, lay), "Latin", pop_range=(10, 90)).yearly_counts
+
+
+def q_csv_breaks_roundtrip(spark, d):
+    from trendloom.sources.readers import read_csv
+    from trendloom.sources.writers import write_csv
+    parts = spark.read.parquet(f"{d}/part.parquet")
+    text = F.concat(F.lit('  "'), "p_name", F.lit('", \n'), "p_type", F.lit("\\n\r\n "), "p_brand", F.lit(" "))
+    path = write_csv(parts.select("p_partkey", text.alias("note")), _roundtrip_dir(spark, "breaks"), escape_breaks=True)
+    return read_csv(spark, path, "p_partkey bigint, note string", escape_breaks=True)
+
+
 JOBS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name: fn for name, fn in globals().items() if name.startswith("q_") and callable(fn)
 }
@@ -450,6 +488,13 @@ FROM stats GROUP BY generation""",
     "q_metric_trend": STATS + "SELECT generation, total_streams FROM stats",
     "q_null_extend": TRENDS + "SELECT generation, CAST(NULL AS VARCHAR) AS platform, artist, total_streams FROM trends",
     "q_strict_gen_artist": TRENDS + "SELECT * FROM trends",
+    "q_metric_trend_files": STATS + "SELECT generation, total_streams FROM stats",
+    "q_top_n_one_gen_files": TRENDS + """SELECT generation, artist, total_streams FROM trends WHERE generation = '1990s'
+ORDER BY total_streams DESC NULLS LAST, generation, artist LIMIT 10""",
+    "q_slice_year_counts_file": _slice_sql("Latin", None, None, 10, 90) + """SELECT year, count(*) AS n_tracks
+FROM s3 WHERE year IS NOT NULL GROUP BY year""",
+    "q_csv_breaks_roundtrip": """SELECT p_partkey::BIGINT AS p_partkey,
+'  "' || p_name || '", ' || chr(10) || p_type || chr(92) || 'n' || chr(13) || chr(10) || ' ' || p_brand || ' ' AS note FROM part""",
     "q_csv_roundtrip": STATS + "SELECT * FROM stats",
     "q_jsonl_roundtrip": TRENDS + "SELECT * FROM trends",
     "q_etl_from_csv": TRENDS + "SELECT * FROM trends",

@@ -24,7 +24,6 @@ from trendloom.operators.columns import (
 )
 from trendloom.operators.filters import any_in_range_agg, filter_years_with_fallback
 
-REQUIRED_COLS = ("artist", "track_name", "year", "streams")  # fixed value
 DEFAULT_PLATFORM = "spotify"  # fixed value
 
 
@@ -47,13 +46,6 @@ def streams_from(value: Column | None, popularity_total: Column | None = None) -
     return F.when(popularity_total == 0, F.lit(1).cast("bigint")).otherwise(streams)
 
 
-def streams_expr(raw: DataFrame) -> Column:
-    """P5 + X3 + A9 on their own (one scalar subquery for the total)."""
-    value = popularity_value(raw)
-    total = raw.agg(F.sum(value).alias("popularity_total")).scalar() if value is not None else None
-    return streams_from(value, total)
-
-
 def normalize_tracks(raw: DataFrame, platform: str | None = DEFAULT_PLATFORM,
                      year_range: tuple[int, int] = (YEAR_MIN, YEAR_MAX)) -> DataFrame:
     """Raw columns are kept; artist, track_name, year, streams, platform and
@@ -85,9 +77,6 @@ def normalize_tracks(raw: DataFrame, platform: str | None = DEFAULT_PLATFORM,
     df = filter_years_with_fallback(df, "year", lo, hi, any_in_range=guards.getField("any_in_range"))
     df = with_generation(df, "year", "generation", mode="decade")
     df = df.withColumn("generation", F.coalesce(F.col("generation"), F.lit("unknown")))
-    for c in REQUIRED_COLS:
-        if c not in df.columns:
-            df = df.withColumn(c, F.lit(None).cast("string"))
     return df
 
 

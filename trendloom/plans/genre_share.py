@@ -66,8 +66,8 @@ def genre_share_by_year(enriched: DataFrame, rules=GENRE_RULES_DASHBOARD,
 
 def run_genre_share(spark, layout, decimals: int = 2) -> str:
     """E3 end to end: enriched CSV -> percentage table CSV with fixed decimals (K3)."""
-    from trendloom.sources.readers import read_csv
+    from trendloom.sources.readers import load_enriched
     from trendloom.sources.writers import write_csv_decimals
 
-    table = genre_share_by_generation(read_csv(spark, layout.enriched_tracks))
+    table = genre_share_by_generation(load_enriched(spark, layout))
     return write_csv_decimals(table, layout.genre_share, decimals, single_file=True)

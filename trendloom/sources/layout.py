@@ -5,10 +5,22 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 
+# Numeric columns of the named datasets, and candidate files in their order.
+COLUMN_TYPES = {
+    "total_streams": "bigint", "streams": "bigint", "year": "int", "pop": "double",
+    "popularity": "double", "mean_popularity": "double", "media_pop": "double", "score": "double",
+}
+GENERATION_STATS_FILES = ("generation_stats.csv", "metricas_por_geracao.csv")
+TOP_ARTISTS_FILES = ("top_artists_by_gen.csv", "top_artistas_por_geracao.csv", "artist_trends.csv")
+
+
 @dataclass(frozen=True)
 class Layout:
     base: str
 
+    def candidates(self, names: tuple[str, ...]) -> list[str]:
+        return [self._join("processed", n) for n in names]
+
     def _join(self, *parts: str) -> str:
         return "/".join([self.base.rstrip("/"), *parts])
 

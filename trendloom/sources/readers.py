@@ -11,11 +11,13 @@ import csv
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from trendloom.functions.numeric import to_double
 from trendloom.operators.filters import parse_key_value_lines
+from trendloom.sources.layout import COLUMN_TYPES, GENERATION_STATS_FILES, TOP_ARTISTS_FILES, Layout
 
 # Separator and encoding candidates, in trial order.
 SEPARATORS = (",", ";", "\t")
@@ -48,10 +50,9 @@ def _guard(read: Callable[[], DataFrame], path: str) -> DataFrame:
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    """True when Spark can list ``path``."""
+    """True when ``path`` holds a data file (a folder left by a failed job doesn't)."""
     try:
-        spark.read.format("text").load(path).schema  # noqa: B018 - resolves the path only
-        return True
+        return bool(spark.read.format("text").load(path).inputFiles())
     except AnalysisException as e:
         if _missing(e):
             return False
@@ -125,12 +126,62 @@ def read_sample(spark: SparkSession, path: str, n: int = 2000, **kw) -> DataFram
     return read_delimited(spark, path, **kw).limit(n)
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
-    """S3: header CSV; declared schema, else all-string (no inference job)."""
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
+             types: dict[str, str] | None = None, escape_breaks: bool = False) -> DataFrame:
+    """S3: header CSV; declared schema, else text columns (no inference job).
+
+    ``types`` declares some columns by name, wherever they stand: the missing
+    values' texts become null (D2), numbers are parsed, and text that is no
+    number is null. Columns that aren't named stay text.
+    """
     r = spark.read.option("header", True).option("escape", '"')
     if schema is not None:
         r = r.schema(schema)
-    return _guard(lambda: r.csv(path), path)
+    df = _guard(lambda: r.csv(path), path)
+    if escape_breaks:
+        df = df.select(*[_unescaped(F.col(f"`{f.name}`")).alias(f.name) if isinstance(f.dataType, T.StringType) else F.col(f"`{f.name}`") for f in df.schema.fields])
+    return typed(df, types) if types is not None else df
+
+
+def _unescaped(c: Column) -> Column:
+    """Undoes ``write_csv``'s escapes; backslash pairs are set aside first (U+0000 can't stand in the text)."""
+    c = F.replace(c, F.lit("\\\\"), F.lit("\x00"))
+    c = F.replace(F.replace(c, F.lit("\\n"), F.lit("\n")), F.lit("\\r"), F.lit("\r"))
+    return F.replace(c, F.lit("\x00"), F.lit("\\"))
+
+
+def typed(df: DataFrame, types: dict[str, str]) -> DataFrame:
+    """Text columns by their declared types, the missing-value texts null."""
+    df = null_vocabulary(df)
+    out = []
+    for f in df.schema.fields:
+        c, to = F.col(f"`{f.name}`"), types.get(f.name)
+        if to in ("bigint", "int"):
+            c = F.coalesce(c.try_cast(to), to_double(c, f.dataType).try_cast(to))
+        elif to == "double":
+            c = to_double(c, f.dataType)
+        out.append(c.alias(f.name))
+    return df.select(*out)
+
+
+def read_dataset(spark: SparkSession, path: str) -> DataFrame:
+    """S3 of a named dataset: its numeric columns typed as ``layout.COLUMN_TYPES`` says."""
+    return read_csv(spark, path, types=COLUMN_TYPES)
+
+
+def load_generation_stats(spark: SparkSession, layout: Layout) -> DataFrame | None:
+    """S5 of R7: the first candidate file that exists."""
+    return read_first_existing(spark, layout.candidates(GENERATION_STATS_FILES))
+
+
+def load_top_artists(spark: SparkSession, layout: Layout) -> DataFrame | None:
+    """S5 of R8: the first candidate file that exists."""
+    return read_first_existing(spark, layout.candidates(TOP_ARTISTS_FILES))
+
+
+def load_enriched(spark: SparkSession, layout: Layout) -> DataFrame:
+    """The drill-down's source (R6), typed."""
+    return read_dataset(spark, layout.enriched_tracks)
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
@@ -142,12 +193,12 @@ def read_parquet_or_csv(spark: SparkSession, parquet_path: str, csv_path: str) -
     if exists(spark, parquet_path):
         return read_parquet(spark, parquet_path)
     if exists(spark, csv_path):
-        return read_csv(spark, csv_path)
+        return read_dataset(spark, csv_path)
     raise SourceNotFound(f"neither {parquet_path} nor {csv_path} exists")
 
 
 def read_first_existing(spark: SparkSession, paths: list[str],
-                        reader: Callable[[SparkSession, str], DataFrame] = read_csv) -> DataFrame | None:
+                        reader: Callable[[SparkSession, str], DataFrame] = read_dataset) -> DataFrame | None:
     """The first candidate path that exists, else None."""
     for p in paths:
         if exists(spark, p):

@@ -4,12 +4,16 @@ from __future__ import annotations
 
 import logging
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 log = logging.getLogger(__name__)
 
+# Conditions under which Spark refuses to write a type.
+UNWRITABLE = ("UNSUPPORTED_DATA_TYPE_FOR_DATASOURCE", "UNSUPPORTED_DATASOURCE_FOR_DATA_TYPE", "INVALID_PARTITION_COLUMN_DATA_TYPE")
+
 
 def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None) -> str:
     w = df.write.mode("overwrite")
@@ -19,31 +23,49 @@ def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = Non
     return path
 
 
+def _escaped(c: Column) -> Column:
+    for raw, text in (("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r")):
+        c = F.replace(c, F.lit(raw), F.lit(text))
+    return c
+
+
 def csv_sibling(path: str) -> str:
     base = path.rstrip("/")
     return (base[: -len(".parquet")] if base.endswith(".parquet") else base) + ".csv"
 
 
 def write_parquet_safe(df: DataFrame, path: str, partition_by: list[str] | None = None) -> str:
-    """K1: Parquet, or a CSV beside it when the Parquet job fails."""
+    """K1: Parquet, or a CSV beside it when Parquet can't hold a column's type.
+
+    Such a type is refused before anything runs or is written. Failures of the
+    data or the job are raised as they are, and nothing is computed twice.
+    """
     try:
         return write_parquet(df, path, partition_by)
-    except Exception as e:  # noqa: BLE001 - the fallback is the documented behaviour
+    except AnalysisException as e:
+        if (e.getCondition() or "").split(".")[0] not in UNWRITABLE:
+            raise
         target = csv_sibling(path)
         log.warning("parquet write failed (%s); writing CSV to %s", e, target)
         write_csv(df, target)
         return target
 
 
-def write_csv(df: DataFrame, path: str, single_file: bool = False) -> str:
-    """K2: header CSV with RFC-4180 quoting.
+def write_csv(df: DataFrame, path: str, single_file: bool = False, escape_breaks: bool = False) -> str:
+    """K2: header CSV with RFC-4180 quoting; outer spaces are kept.
+
+    ``escape_breaks`` writes line breaks in text as ``\\n`` and ``\\r`` (and a
+    backslash as two), so that every row stays on one line; ``read_csv`` with
+    the same flag undoes it, in splits of a file and not one task a file.
 
     ``single_file`` funnels the rows through one task: use it only for
     outputs of bounded size (report tables with one row per decade).
     """
     out = df.coalesce(1) if single_file else df
+    if escape_breaks:
+        out = out.select(*[_escaped(F.col(f"`{f.name}`")).alias(f.name) if isinstance(f.dataType, T.StringType) else F.col(f"`{f.name}`") for f in out.schema.fields])
     (out.write.mode("overwrite").option("header", True).option("escape", '"')
-        .csv(path))
+        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
     return path
 
 
