@@ -6,7 +6,6 @@ Layers:
               windows, pivots, ordering, column resolution)
   sources/    readers and writers (delimited sniffing, JSON lines, layout)
   plans/      end-to-end jobs (ETL, aggregate build, genre share, reports)
-  streaming/  nothing to run: the catalog jobs are batch only
 """
 
 __version__ = "0.1.0"
