@@ -58,8 +58,12 @@ def top_artists_by_generation(trends: DataFrame, n: int = TOP_PER_GENERATION,
 
 
 def run_build(spark: SparkSession, layout, strict_line_split: bool = False) -> dict[str, str]:
-    """E2 end to end over a Layout: read tracks (S4), write the three CSVs (K2)."""
-    from trendloom.sources.readers import read_parquet_or_csv
+    """E2 end to end over a Layout: read tracks (S4), write the three CSVs (K2).
+
+    The ranking comes from the totals just written, so the tracks are read
+    twice (once for each aggregate) and not a third time.
+    """
+    from trendloom.sources.readers import read_csv, read_parquet_or_csv
     from trendloom.sources.writers import write_csv
 
     tracks = read_parquet_or_csv(spark, layout.tracks, layout.tracks_csv)
@@ -68,6 +72,7 @@ def run_build(spark: SparkSession, layout, strict_line_split: bool = False) -> d
     trends = artist_trends(tracks, strict_line_split, ordered=False)
     write_csv(stats, layout.generation_stats)
     write_csv(sort_by_total_desc(trends, ["generation", "artist"]), layout.artist_trends)
-    write_csv(top_artists_by_generation(trends), layout.top_artists_by_gen)
+    totals = read_csv(spark, layout.artist_trends, "generation string, artist string, total_streams bigint")
+    write_csv(top_artists_by_generation(totals), layout.top_artists_by_gen)
     return {"generation_stats": layout.generation_stats, "artist_trends": layout.artist_trends,
             "top_artists_by_gen": layout.top_artists_by_gen}
