@@ -32,6 +32,15 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete the table that ``stage`` wrote for ``df``, once all that is made of it is written too."""
+    spark = df.sparkSession
+    for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        if path.getName().startswith("llm-"):
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def lower_ascii(c: Column) -> Column:
     return F.translate(c, UPPER, LOWER)
 
@@ -62,6 +71,12 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def distinct(x: np.ndarray) -> np.ndarray:
+    """The distinct values in order; by a sort, which is many times faster here than numpy's hashing unique."""
+    x = np.sort(x)
+    return x[np.concatenate([[True], x[1:] != x[:-1]])] if len(x) else x
+
+
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 #: The inverse of MULTIPLIER modulo 2^64.
 INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 2**64))
@@ -204,7 +219,9 @@ def count_hashes(batches, hashes_of: Callable[[pa.RecordBatch], Iterable[np.ndar
     held = np.zeros(1 << bits, np.int32)
     for b in batches:
         for h in hashes_of(b):
-            np.add.at(held, (h & np.uint64(len(held) - 1)).astype(np.int64), 1)
+            at = np.sort((h & np.uint64(len(held) - 1)).astype(np.int64))  # sorted, so that the table is met in order
+            first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]])) if len(at) else at
+            held[at[first]] += np.diff(np.append(first, len(at))).astype(np.int32)
     some = np.flatnonzero(held)
     for at in range(0, len(some), 100_000):
         part = some[at : at + 100_000]
