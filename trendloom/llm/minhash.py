@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trendloom.llm.common import MULTIPLIER, Tokenizer, byte_table, count_hashes, map_batches, mix64, rarity_table, shingle_hashes, stage
+from trendloom.llm.common import MULTIPLIER, Tokenizer, byte_table, count_hashes, distinct, map_batches, mix64, rarity_table, shingle_hashes, stage
 from trendloom.llm.graph import components
 
 #: Components of a band, and the chance that a pair at the threshold shares no band.
@@ -37,7 +37,7 @@ ROWS, MISS = 5, 1e-6
 #: Shingles that walk at once (bounds memory for very long texts).
 BLOCK = 1 << 15
 #: Size, as a power of two, of the tables that are sent to all tasks.
-TABLE_BITS = 23
+TABLE_BITS = 22
 
 
 def bands_for(threshold: float) -> int:
@@ -85,7 +85,7 @@ def _signatures(k: int, bands: int):
                 h, at = block.hashes, block.bounds
                 place = np.arange(len(h), dtype=np.uint64)
                 for i, j in zip(at[:-1], at[1:], strict=True):
-                    s = np.unique(shingle_hashes(h[i:j], k))
+                    s = distinct(shingle_hashes(h[i:j], k))
                     x = h[i:j] + (place[: j - i] + np.uint64(1)) * MULTIPLIER  # words in their order
                     digest.append(np.array([mix64(x).sum(), mix64(x ^ MULTIPLIER).sum(), j - i], np.uint64).tobytes())
                     n.append(len(s))
@@ -109,13 +109,15 @@ def _bits():
 def _sets(k: int, wanted: np.ndarray):
     """The shingle sets of the documents whose bit is set."""
 
+    packed = np.packbits(wanted)  # what travels to the tasks
+
     def make():
-        tokens = Tokenizer()
+        tokens, wanted = Tokenizer(), np.unpackbits(packed)
 
         def one(ids, texts):
             hit = np.flatnonzero(wanted[place_of(ids.to_numpy(zero_copy_only=False))])
             some = texts.take(pa.array(hit))
-            sets = [np.unique(shingle_hashes(b.hashes[i:j], k)).view(np.int64) for b in tokens.blocks(some) for i, j in zip(b.bounds[:-1], b.bounds[1:], strict=True)]
+            sets = [distinct(shingle_hashes(b.hashes[i:j], k)).view(np.int64) for b in tokens.blocks(some) for i, j in zip(b.bounds[:-1], b.bounds[1:], strict=True)]
             return {"id": ids.take(pa.array(hit)), "s": sets}
 
         return one
