@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trendloom.llm.common import MULTIPLIER, Tokenizer, byte_table, count_hashes, map_batches, mix64, rarity_table, stage
+from trendloom.llm.common import MULTIPLIER, Tokenizer, byte_table, count_hashes, discard, distinct, map_batches, mix64, rarity_table, stage
 
 #: Buckets of the rarity table and of the table of wanted lines, as powers of two.
 RARITY_BITS, WANTED_BITS = 23, 23
@@ -61,7 +61,7 @@ def line_sets(block, levels: np.ndarray | None):
         key = ((line[lo:hi] - at).astype(np.uint64) << np.uint64(64 - 12)) | (h >> np.uint64(64 - TOKEN_BITS))
         if levels is not None:
             key |= levels[(h & np.uint64(len(levels) - 1)).astype(np.int64)].astype(np.uint64) << np.uint64(TOKEN_BITS)
-        key = np.unique(key)
+        key = distinct(key)
         owner = (key >> np.uint64(64 - 12)).astype(np.int64)
         start = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
         heads = first[at : at + LINES]
@@ -111,8 +111,10 @@ def _wanted():
 def _full_sets(wanted: np.ndarray):
     """The full sets of the lines whose bit is set."""
 
+    packed = np.packbits(wanted)  # what travels to the tasks
+
     def make():
-        tokens = Tokenizer()
+        tokens, wanted = Tokenizer(), np.unpackbits(packed)
 
         def one(ids, texts):
             doc_id, parts = ids.to_numpy(zero_copy_only=False), []
@@ -133,12 +135,16 @@ def _full_sets(wanted: np.ndarray):
 def later_matches(docs: DataFrame) -> DataFrame:
     """(doc_id, line) of every line that is similar to an earlier one; ``docs`` has doc_id and text."""
     docs = docs.where("doc_id IS NOT NULL AND text IS NOT NULL")
-    lines = stage(map_batches(docs, "doc_id long, line int, d1 long, d2 long, again boolean, n int, sig long, skip int, words array<long>", _prefixes(rarity(docs))), "ln-lines")
-    classes = stage(lines.groupBy("d1", "d2").agg(F.min("doc_id").alias("first")), "ln-classes")
-    lines = stage(lines.join(classes, ["d1", "d2"]).select("doc_id", "line", (F.col("again") | (F.col("doc_id") > F.col("first"))).alias("copy"), "n", "sig", "skip", "words"), "ln-told")
-    copies = lines.where("copy").select("doc_id", "line")
-
-    entries = lines.where("NOT copy AND n > 3 AND size(words) > 0").select("doc_id", "line", "n", "sig", "skip", F.posexplode("words").alias("at", "word"))
+    found = stage(map_batches(docs, "doc_id long, line int, d1 long, d2 long, again boolean, n int, sig long, skip int, words array<long>", _prefixes(rarity(docs))), "ln-lines")
+    classes = stage(found.groupBy("d1", "d2").agg(F.min("doc_id").alias("first")), "ln-classes")
+    copy = F.col("again") | (F.col("doc_id") > F.col("first"))
+    lines = found.join(classes, ["d1", "d2"]).select("doc_id", "line", copy.alias("copy"), "n", "sig", "skip", F.when(~copy & (F.col("n") > 3), F.col("words")).alias("words"))
+    told = stage(lines, "ln-told")  # sets of three words and fewer are similar to equal ones only
+    discard(found)
+    discard(classes)
+    copies = stage(told.where("copy").select("doc_id", "line"), "ln-copies")
+
+    entries = told.where("size(words) > 0").select("doc_id", "line", "n", "sig", "skip", F.posexplode("words").alias("at", "word"))
     entries = entries.select("word", "doc_id", "line", "n", "sig", (F.col("skip") + F.col("at")).alias("at"))
     x, y = entries.alias("x"), entries.alias("y")
     both = F.col("x.n") + F.col("y.n")
@@ -151,6 +157,7 @@ def later_matches(docs: DataFrame) -> DataFrame:
     )
     pairs = x.join(y, near).select(F.col("x.doc_id").alias("a"), F.col("x.line").alias("i"), F.col("y.doc_id").alias("b"), F.col("y.line").alias("j")).distinct()
     pairs = stage(pairs, "ln-pairs")
+    discard(told)
     ends = pairs.select(F.explode(F.array(F.struct(F.col("a").alias("doc_id"), F.col("i").alias("line")), F.struct(F.col("b").alias("doc_id"), F.col("j").alias("line")))).alias("w")).select("w.*")
     wanted = byte_table(map_batches(ends, "bucket int", _wanted).distinct().withColumn("on", F.lit(1)), "on", WANTED_BITS)
     sets = stage(map_batches(docs.select("doc_id", "text"), "doc_id long, line int, w array<long>", _full_sets(wanted)), "ln-sets")
