@@ -273,6 +273,19 @@ def test_line_dedup_equals_all_pairs(given, docs, none):
     assert lines.dedup_lines(none).count() == 0
 
 
+def test_line_dedup_of_short_lines_across_chunks(spark):
+    """Short lines that repeat only within their document, their places in different runs of LINES lines."""
+    line = lambda d, n: f"d{d}n{n}a d{d}n{n}b"
+    rows = []
+    for d, size in enumerate((lines.LINES - 20, 60, lines.LINES + 500)):
+        text = [line(d, n) for n in range(size)]
+        text[1:1], text[-1:-1] = [f"only{d}", ""], [f"ONLY{d}", f"only{d}"]
+        rows.append((d, "\n".join(text), None, None))
+    got = {r.doc_id: (r.text, r.n_removed) for r in lines.dedup_lines(documents(spark, rows).coalesce(1)).collect()}
+    assert {d: n for d, (_, n) in got.items()} == {0: 2, 1: 2, 2: 2}
+    assert got == brute.kept_lines({r[0]: r[1] for r in rows})
+
+
 # ----------------------------------------------------------------- language (9)
 
 

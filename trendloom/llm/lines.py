@@ -85,14 +85,14 @@ def _prefixes(levels: np.ndarray):
                     skip = np.add.reduceat(alone.astype(np.int32), start)
                     use = (np.arange(len(key)) - start[owner] < (n - (4 * n + 4) // 5 + 1)[owner]) & ~alone
                     ids_ = doc_id[doc + block.first]
-                    order = np.lexsort((number, ids_, b, a))  # of equal sets in a document only the first is told from copies here
+                    order = np.lexsort((number, ids_, b, a))  # copies seen here already need no words; all copies are told by their class
                     same = np.zeros(len(order), bool)
                     same[order[1:]] = (a[order[1:]] == a[order[:-1]]) & (b[order[1:]] == b[order[:-1]]) & (ids_[order[1:]] == ids_[order[:-1]]) & (number[order[1:]] != number[order[:-1]])  # not of rows that repeat
                     use &= ~same[owner]
-                    parts.append((ids_, number, a.view(np.int64), b.view(np.int64), same, n, sig.view(np.int64), skip, np.add.reduceat(use.astype(np.int32), start), token[use].view(np.int64)))
+                    parts.append((ids_, number, a.view(np.int64), b.view(np.int64), n, sig.view(np.int64), skip, np.add.reduceat(use.astype(np.int32), start), token[use].view(np.int64)))
             col = lambda j, t=np.int64: np.concatenate([p[j] for p in parts]).astype(t) if parts else np.zeros(0, t)
-            ends = np.concatenate([[0], np.cumsum(col(8))]).astype(np.int32)
-            return {"doc_id": col(0), "line": col(1, np.int32), "d1": col(2), "d2": col(3), "again": pa.array(col(4, bool)), "n": col(5, np.int32), "sig": col(6), "skip": col(7, np.int32), "words": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(col(9), pa.int64()))}
+            ends = np.concatenate([[0], np.cumsum(col(7))]).astype(np.int32)
+            return {"doc_id": col(0), "line": col(1, np.int32), "d1": col(2), "d2": col(3), "n": col(4, np.int32), "sig": col(5), "skip": col(6, np.int32), "words": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(col(8), pa.int64()))}
 
         return one
 
@@ -135,9 +135,9 @@ def _full_sets(wanted: np.ndarray):
 def later_matches(docs: DataFrame) -> DataFrame:
     """(doc_id, line) of every line that is similar to an earlier one; ``docs`` has doc_id and text."""
     docs = docs.where("doc_id IS NOT NULL AND text IS NOT NULL")
-    found = stage(map_batches(docs, "doc_id long, line int, d1 long, d2 long, again boolean, n int, sig long, skip int, words array<long>", _prefixes(rarity(docs))), "ln-lines")
-    classes = stage(found.groupBy("d1", "d2").agg(F.min("doc_id").alias("first")), "ln-classes")
-    copy = F.col("again") | (F.col("doc_id") > F.col("first"))
+    found = stage(map_batches(docs, "doc_id long, line int, d1 long, d2 long, n int, sig long, skip int, words array<long>", _prefixes(rarity(docs))), "ln-lines")
+    classes = stage(found.groupBy("d1", "d2").agg(F.min(F.struct("doc_id", "line")).alias("first")), "ln-classes")
+    copy = F.struct("doc_id", "line") > F.col("first")
     lines = found.join(classes, ["d1", "d2"]).select("doc_id", "line", copy.alias("copy"), "n", "sig", "skip", F.when(~copy & (F.col("n") > 3), F.col("words")).alias("words"))
     told = stage(lines, "ln-told")  # sets of three words and fewer are similar to equal ones only
     discard(found)
