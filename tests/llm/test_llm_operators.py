@@ -253,6 +253,22 @@ def test_repeated_passages_are_found_with_changes(spark):
     assert not any(7 in k for k in found)
 
 
+def test_exact_repeats_that_adjoin_boilerplate(spark):
+    rng = random.Random(11)
+    words = lambda n: ["".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(n)]
+    fresh, one, two, three, loop = words(25), words(40), words(35), words(30), words(60)
+    parts = {1: one, 2: two, 3: three, 10: fresh + one, 11: two + three, 50: one, 51: two, 52: three, 100: fresh + one, 101: two + three, 102: fresh + one, 200: loop * 3}
+    rows = [(i, " ".join([*words(40), *p, *words(40)]), None, None) for i, p in parts.items()]
+    found = passages.repeated_passages(documents(spark, rows)).collect()
+    for doc, (start, stop) in {100: (40, 105), 101: (40, 105), 102: (40, 105), 200: (100, 160)}.items():
+        assert any(r.doc_id == doc and r.start <= start and r.stop >= stop and r.similarity == 1 for r in found), doc
+    text = {r[0]: r[1].split() for r in rows}
+    for r in found:
+        assert (r.src_doc_id, r.src_start) < (r.doc_id, r.start) and r.stop - r.start >= 50
+        assert r.similarity < 1 or text[r.doc_id][r.start : r.stop] == text[r.src_doc_id][r.src_start : r.src_stop]
+    assert len({(r.doc_id, r.start, r.stop, r.src_doc_id, r.src_start, r.src_stop) for r in found}) == len(found)
+
+
 def test_chains_follow_the_best_order():
     line = [(10 * n, 500 + 10 * n) for n in range(8)]
     got = passages.chains([*line, (35, 20), (36, 900), (5, 504)], 16)
