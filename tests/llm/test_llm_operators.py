@@ -176,6 +176,26 @@ def test_decontamination_finds_copies_and_paraphrases(spark, given, none):
     assert decontaminate.contaminated(docs, items.limit(0)).count() == 0
 
 
+def test_decontamination_at_the_bounds_of_its_check(spark, given):
+    """Whole copies and items with 20 to 40 % of their words changed and the answer kept, at every offset."""
+    known = {r.item_id: r.text for r in table(spark, SF, "benchmark").collect()}
+    rng, filler = random.Random(8), [r[1].split() for r in given[:60]]
+    rows, planted = [r for r in given[:200] if r[0] is not None], {}
+    items = [i for i, t in sorted(known.items()) if len(t.split()) >= 24]
+    for n in range(240):
+        i, host = items[n // 24 % len(items)], rng.choice(filler)
+        w = known[i].split()
+        room = len(w) - len(decontaminate.answer_of(known[i]))
+        change = rng.sample(range(room), min(room, int(len(w) * (0, 0.2, 0.3, 0.4)[n % 4])))
+        w = [f"other{n}" if m in change else x for m, x in enumerate(w)]
+        lead = [rng.choice(host) for _ in range(24 + n % 24)]
+        rows.append((7000 + n, " ".join([*lead, *w, *host]), None, None))
+        planted[7000 + n] = (i, n % 4)
+    got = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(documents(spark, rows), table(spark, SF, "benchmark")).collect()}
+    missed = Counter(kind for d, (i, kind) in planted.items() if (d, i) not in got)
+    assert not missed, missed
+
+
 # ----------------------------------------------------------- personal data (5)
 
 
