@@ -243,6 +243,16 @@ def test_top_k_equals_its_sql(spark):
     assert [(r.query_id, r.rank) for r in sorted(few, key=lambda r: r["rank"])] == [(0, 1), (0, 2)]
 
 
+def test_top_k_of_repeated_ids_equals_its_sql(spark):
+    rows = [(r.vec_id, r.embedding) for r in table(spark, SF, "embeddings").select("vec_id", "embedding").collect()]
+    rows += [(i, [x * (1 + n / 8) for x in v]) for i, v in rows if i % 50 == 0 for n in range(9)] + rows[:1]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    con = duckdb.connect()
+    con.execute("CREATE TABLE embeddings (vec_id BIGINT, embedding FLOAT[])")
+    con.executemany("INSERT INTO embeddings VALUES (?, ?)", rows)
+    assert sorted(map(tuple, knn.top_k(df).collect())) == sorted(con.execute(knn.ORACLE).fetchall())
+
+
 # ---------------------------------------------------------------- passages (7)
 
 

@@ -60,8 +60,8 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, vec_id: str = "vec_id
 
     rows = stage(map_batches(rows, "vec_id long, dim int, vec binary", pack), "knn-rows")
     n, queries, dim = rows.agg(F.count("*"), F.count_if(F.col("vec_id") % every == 0), F.coalesce(F.max("dim"), F.lit(0))).first()
-    sample = [r.vec for r in rows.orderBy(F.xxhash64("vec_id", F.lit("pivot")), "vec_id").limit(REFERENCE).collect()]
-    reference = _matrix(sample, dim)
+    sample = rows.orderBy(F.xxhash64("vec_id", F.lit("pivot")), "vec_id").limit(REFERENCE).collect()
+    reference, reference_ids = _matrix([r.vec for r in sample], dim), np.array([r.vec_id for r in sample], np.int64)
     pivots = reference[:PIVOTS].astype(np.float64)
     # neighbouring pivots' queries share a group: pivots in the order of a walk to the nearest unvisited one
     walk, left = [], set(range(len(pivots)))
@@ -98,8 +98,10 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, vec_id: str = "vec_id
     def bounds():
         def one(ids, vec, grp):
             q = _matrix(vec.to_pylist(), dim)
-            scores = products(q, reference)
-            kth = -np.sort(-scores, axis=1)[:, k].astype(np.float64) if len(reference) > k else np.full(len(q), -np.inf)  # the sample may hold the query itself
+            own = ids.to_numpy()[:, None] == reference_ids  # the sample may hold rows of the query's id
+            scores = np.where(own, np.iinfo(np.int64).min, products(q, reference))
+            kth = np.sort(scores, axis=1)[:, -k].astype(np.float64) if len(reference) >= k else np.full(len(q), -np.inf)
+            kth[(~own).sum(1) < k] = -np.inf
             size = np.sqrt((q.astype(np.float64) ** 2).sum(1))
             with np.errstate(divide="ignore", invalid="ignore"):
                 need = (kth[:, None] - q @ pivots.T) / size[:, None]
@@ -115,7 +117,7 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, vec_id: str = "vec_id
     asked = asks.select("grp", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"), F.col("vec_id").alias("query_id"), F.col("vec").alias("query"))
 
     def solve(q: pd.DataFrame, x: pd.DataFrame) -> pd.DataFrame:
-        x, q = x.sort_values("vec_id", kind="stable"), q.drop_duplicates(["query_id", "query"])
+        x = x.sort_values("vec_id", kind="stable")
         ids, own = x["vec_id"].to_numpy(np.int64), q["query_id"].to_numpy(np.int64)
         s = products(_matrix(q["query"].tolist(), dim), _matrix(x["vec"].tolist(), dim)) if len(q) and len(x) else np.zeros((len(q), len(x)), np.int64)
         order = np.argsort(-s, axis=1, kind="stable")
