@@ -26,9 +26,10 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates (five-word shingles, Jaccard 0.8) the document of the smallest id."""
+    """Of each group of near duplicates (five-word shingles, Jaccard 0.8) the document of the smallest id, once if rows repeat its id and text."""
     found = minhash.near_duplicates(docs, k=5, percent=80)
-    return docs.join(found.where("NOT kept").select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+    kept = docs.join(found.where("NOT kept").select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+    return kept.where("doc_id IS NOT NULL").dropDuplicates(["doc_id", "text"]).unionByName(kept.where("doc_id IS NULL"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

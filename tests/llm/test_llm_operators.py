@@ -146,6 +146,12 @@ def test_super_min_hash_estimates_jaccard():
     assert len(set(minhash.super_min_hash(x[:3], 125).tolist())) == 125  # few elements still fill every component
 
 
+def test_near_dedup_stage_keeps_repeated_rows_once(spark):
+    rows = [(1, "a b c d e f g", None, None)] * 3 + [(2, "A b c d e f g", None, None), (3, "other words", None, None), (None, "a b", None, None), (None, "a b", None, None)]
+    got = corpus_pipeline.near_dedup(spark, documents(spark, rows), SF)
+    assert Counter((r.doc_id, r.text) for r in got.collect()) == {(1, rows[0][1]): 1, (3, "other words"): 1, (None, "a b"): 2}
+
+
 # -------------------------------------------------------- decontamination (4)
 
 
