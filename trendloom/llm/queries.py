@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trendloom.llm import decontaminate, knn, langid, lines, minhash, mixing, passages, pii, token_counts, urls
+from trendloom.llm import conversations, decontaminate, knn, langid, licenses, lines, minhash, mixing, passages, phrases, pii, token_counts, urls
 from trendloom.llm.common import table
 
 
@@ -52,6 +52,18 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair_damaged(table(spark, sf_dir, "conversations"))
+
+
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
     "op2_token_counts": op2_token_counts,
@@ -63,6 +75,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_language_id": op9_language_id,
     "op10_mix_sources": op10_mix_sources,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op12_phrase_collocations": op12_phrase_collocations,
+    "op13_license_scan": op13_license_scan,
 }
 
-ORACLE: dict[str, str] = {"op1_url_filter": urls.oracle(), "op6_voronoi_top_k": knn.ORACLE}
+ORACLE: dict[str, str] = {
+    "op1_url_filter": urls.oracle(),
+    "op6_voronoi_top_k": knn.ORACLE,
+    "op11_conversation_repair": conversations.ORACLE,
+    "op12_phrase_collocations": phrases.ORACLE,
+}
