@@ -88,6 +88,12 @@ def is_empty(df: DataFrame) -> bool:
 INT_TEXT = r"^\s*[+-]?[0-9]+(_[0-9]+)*\s*$"
 
 
+def accepted_line(line: Column, header_prefix: str = "generation,") -> Column:
+    """whether a line is no header, has three fields or more and an integer in the third."""
+    parts = split_fields(line)
+    return F.coalesce(~line.startswith(header_prefix) & (F.size(parts) >= 3) & F.get(parts, 2).rlike(INT_TEXT), F.lit(False))
+
+
 def key_value_fields(lines: DataFrame, key_names: tuple[str, str],
                      defaults: tuple[str, str], value_name: str = "streams",
                      header_prefix: str = "generation,") -> DataFrame:
@@ -102,7 +108,7 @@ def key_value_fields(lines: DataFrame, key_names: tuple[str, str],
     v = F.col("value")
     parts = split_fields(v)
     third = F.get(parts, 2)
-    ok = (~v.startswith(header_prefix)) & (F.size(parts) >= 3) & third.rlike(INT_TEXT)
+    ok = accepted_line(v, header_prefix)
     k1, k2 = key_names
     d1, d2 = defaults
     return lines.select(

@@ -99,8 +99,55 @@ def _popularity_sql(zero: bool) -> str:
     return f"CASE WHEN l_linenumber = 6 THEN 'n/a' WHEN l_linenumber = 4 THEN {q} || '.5' ELSE {q} END"
 
 
-def raw_catalog(spark: SparkSession, sf_dir: str, variant: str = "standard") -> DataFrame:
-    """Raw catalog rows: artists, name, release_date|year, popularity, platform, genre, pop.
+def _comma_artist() -> Column:
+    ln = F.col("l_linenumber")
+    return (F.when(ln % 4 == 0, F.concat("p_brand", F.lit(', "'), "p_type", F.lit('"')))
+             .when(ln % 4 == 1, F.concat("p_type", F.lit(",7"))).otherwise(F.col("p_brand")))
+
+
+COMMA_ARTIST_SQL = ("CASE WHEN l_linenumber % 4 = 0 THEN p_brand || ', \"' || p_type || '\"' "
+                    "WHEN l_linenumber % 4 = 1 THEN p_type || ',7' ELSE p_brand END")
+
+
+def case_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw rows whose names differ in case only: artist, Artist, Name, Year, POPULARITY, platform."""
+    t = _tables(spark, sf_dir)
+    return t.select(F.col("p_brand").alias("artist"), _comma_artist().alias("Artist"), _name().alias("Name"), _year_text(1900).alias("Year"),
+                    _popularity(False).alias("POPULARITY"), F.col("l_returnflag").alias("platform"))
+
+
+def case_catalog_sql() -> str:
+    return (f"SELECT {COMMA_ARTIST_SQL} AS artist, {NAME_SQL} AS name, CAST(1900 + l_orderkey % 130 AS VARCHAR) AS year_text, "
+            f"{_popularity_sql(False)} AS popularity, l_returnflag AS platform FROM lineitem JOIN part ON l_partkey = p_partkey")
+
+
+# Fixed value: the header of ``broken_lines``.
+BROKEN_HEADER = '"id",note,artist'
+
+
+def broken_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text records (``value``) for the raw scan: breaks and quotes in quoted fields, stray quotes in plain ones, ragged rows."""
+    t = _tables(spark, sf_dir)
+    ln = F.col("l_linenumber")
+    note = (F.when(ln == 1, F.concat(F.lit('"'), "p_name", F.lit(',\n""'), "p_type", F.lit('"" \n\nend"')))
+             .when(ln == 2, F.concat(F.lit('"\n'), "p_name", F.lit('"')))
+             .when(ln == 3, F.concat("p_name", F.lit(' 5" x')))
+             .when(ln == 4, F.lit('""'))
+             .otherwise(F.col("p_name")))
+    tail = F.when(ln == 5, F.concat(F.lit(","), "p_brand", F.lit(",EXTRA"))).when(ln == 6, F.lit("")).otherwise(F.concat(F.lit(","), "p_brand"))
+    return t.select(F.concat(F.col("l_orderkey").cast("string"), F.lit(","), note, tail).alias("value"))
+
+
+def broken_lines_sql() -> str:
+    """The fields of ``broken_lines``: id, note, artist, ragged."""
+    return ("SELECT CAST(l_orderkey AS VARCHAR) AS id, CASE l_linenumber WHEN 1 THEN p_name || ',' || chr(10) || '\"' || p_type || '\" ' || chr(10) || chr(10) || 'end' "
+            "WHEN 2 THEN chr(10) || p_name WHEN 3 THEN p_name || ' 5\" x' WHEN 4 THEN NULL ELSE p_name END AS note, "
+            "CASE WHEN l_linenumber = 6 THEN NULL ELSE p_brand END AS artist, "
+            "CASE l_linenumber WHEN 5 THEN 'long' WHEN 6 THEN 'short' END AS ragged FROM lineitem JOIN part ON l_partkey = p_partkey")
+
+
+def raw_catalog(spark: SparkSession, sf_dir: str, variant: str = "standard", keys: bool = False) -> DataFrame:
+    """Raw catalog rows: artists, name, release_date|year, popularity, platform, genre, pop (and order_key, line with ``keys``).
 
     variant 'standard': years 1900-2029 as text dates; 'future': a numeric
     ``year`` column 2100-2229 (none in the catalog window); 'zero': every
@@ -120,17 +167,18 @@ def raw_catalog(spark: SparkSession, sf_dir: str, variant: str = "standard") ->
         F.col("l_returnflag").alias("platform"),
         _genre().alias("genre"),
         (F.col("l_quantity") * 2).alias("pop"),
+        *([F.col("l_orderkey").alias("order_key"), F.col("l_linenumber").alias("line")] if keys else []),
     )
 
 
-def raw_catalog_sql(variant: str = "standard") -> str:
+def raw_catalog_sql(variant: str = "standard", keys: bool = False) -> str:
     if variant == "future":
         when_sql = "CASE WHEN l_orderkey % 89 = 0 THEN NULL ELSE 2100 + l_orderkey % 130 END AS year"
     else:
         when_sql = f"{RELEASE_DATE_SQL} AS release_date"
     return (f"SELECT {ARTISTS_SQL} AS artists, {NAME_SQL} AS name, {when_sql}, "
             f"{_popularity_sql(variant == 'zero')} AS popularity, l_returnflag AS platform, "
-            f"{_genre_sql()} AS genre, l_quantity * 2 AS pop "
+            f"{_genre_sql()} AS genre, l_quantity * 2 AS pop {', l_orderkey AS order_key, l_linenumber AS line ' if keys else ''}"
             "FROM lineitem JOIN part ON l_partkey = p_partkey")
 
 

@@ -18,8 +18,14 @@ from trendloom.functions.text import first_artist, normalize_text
 from trendloom.operators.aggregates import audit_counts, distinct_sorted, min_max
 from trendloom.operators.columns import clean_by_type, reindex_columns, with_generation
 from trendloom.operators.filters import sum_key_value_lines
+from trendloom.operators.ordering import decade_order, global_rank, total_order
 from trendloom.plans import build, reports
 from trendloom.plans.catalog import (
+    BROKEN_HEADER,
+    broken_lines,
+    broken_lines_sql,
+    case_catalog,
+    case_catalog_sql,
     enriched_tracks,
     enriched_tracks_sql,
     key_value_lines,
@@ -27,7 +33,7 @@ from trendloom.plans.catalog import (
     raw_catalog,
     raw_catalog_sql,
 )
-from trendloom.plans.etl import normalize_tracks
+from trendloom.plans.etl import audit_etl, normalize_tracks
 from trendloom.plans.genre_share import (
     genre_counts,
     genre_share_by_generation,
@@ -43,11 +49,11 @@ def _tracks(spark, d, variant="standard", platform=None):
 
 
 def _trends(spark, d):
-    return build.artist_trends(_tracks(spark, d), ordered=False)
+    return build.catalog_totals(raw_catalog(spark, d), "artist", None, ordered=False)
 
 
 def _stats(spark, d):
-    return build.generation_stats(_tracks(spark, d), ordered=False)
+    return build.catalog_totals(raw_catalog(spark, d), "platform", None, ordered=False)
 
 
 def q_etl_tracks(spark, d):
@@ -124,7 +130,102 @@ def q_audit_counts(spark, d):
 
 
 def q_profile_sample(spark, d):
-    return reports.profile(raw_catalog(spark, d)).sample
+    """R9 of a file: the first 2000 records of the catalog written in order."""
+    from trendloom.sources.writers import write_csv
+    raw = raw_catalog(spark, d, keys=True)
+    first = ["order_key", "line"]
+    path = write_csv(raw.orderBy(*first, *[c for c in raw.columns if c not in first]), _roundtrip_dir(spark, "sample"))
+    return reports.profile_file(spark, path).sample
+
+
+def q_profile_columns(spark, d):
+    return reports.profile_table(raw_catalog(spark, d)).drop("distinct_estimate")
+
+
+def q_etl_audit(spark, d):
+    return audit_etl(raw_catalog(spark, d))
+
+
+def q_etl_audit_fallback(spark, d):
+    return audit_etl(raw_catalog(spark, d, "future"))
+
+
+def q_etl_case_variants(spark, d):
+    return normalize_tracks(case_catalog(spark, d), platform=None)
+
+
+def _broken_file(spark, d):
+    """Records with breaks and ragged ones as text files; the header stands in a file of its own, first by name."""
+    base = _roundtrip_dir(spark, "broken")
+    spark.range(1).select(F.lit(BROKEN_HEADER)).write.text(f"{base}/0-header")
+    broken_lines(spark, d).write.text(f"{base}/1-rows")
+    return f"{base}/*"
+
+
+def q_records_with_breaks(spark, d):
+    """Every record of files with quoted breaks and ragged rows."""
+    from trendloom.sources.readers import read_delimited
+    rows = read_delimited(spark, _broken_file(spark, d), info="told")
+    return rows.select("id", "note", "artist", F.col("told.ragged").alias("ragged"))
+
+
+def _etl_file(spark, d, variant="standard"):
+    from trendloom.sources.writers import write_csv
+    return write_csv(raw_catalog(spark, d, variant), _roundtrip_dir(spark, "etl"))
+
+
+def q_run_etl_counts(spark, d):
+    """A12 of a file-level run: what it read, kept and rejected, as it wrote."""
+    from trendloom.plans.etl import run_etl
+    out = run_etl(spark, _etl_file(spark, d), _roundtrip_dir(spark, "etl-out") + "/tracks.parquet")
+    return spark.createDataFrame(sorted(out.counts.items()), "name string, rows long")
+
+
+def q_run_etl_rejects(spark, d):
+    """the rows that a file-level run left out, and why."""
+    from trendloom.plans.etl import run_etl
+    base = _roundtrip_dir(spark, "etl-out")
+    run_etl(spark, _etl_file(spark, d), base + "/tracks.parquet", rejects_path=base + "/rejects.parquet")
+    return spark.read.parquet(base + "/rejects.parquet").select("name", "release_date", "year", "streams", "reject_reason")
+
+
+def q_strict_commas(spark, d):
+    """D1 where artists hold commas: the strict build loses them."""
+    return build.artist_trends(normalize_tracks(case_catalog(spark, d), platform=None), strict_line_split=True, ordered=False)
+
+
+def q_build_strict_counts(spark, d):
+    """D1 counted: what a strict build over files read, kept and lost."""
+    from trendloom.sources.layout import Layout
+    from trendloom.sources.writers import write_parquet
+    lay = Layout(_roundtrip_dir(spark, "layout"))
+    write_parquet(normalize_tracks(case_catalog(spark, d), platform=None), lay.tracks)
+    return spark.createDataFrame(sorted(build.run_build(spark, lay, strict_line_split=True).counts.items()), "name string, rows long")
+
+
+def q_rank_totals(spark, d):
+    """O1: every artist total by its place in the descending order."""
+    return global_rank(_trends(spark, d), total_order(["generation", "artist"]))
+
+
+def q_rank_platform_totals(spark, d):
+    return global_rank(_stats(spark, d), total_order(["generation", "platform"]))
+
+
+def q_rank_decades(spark, d):
+    """O2 and O3: decades of the platform matrix in numeric order."""
+    return global_rank(reports.streams_by_decade_platform(_stats(spark, d)), decade_order())
+
+
+def q_rank_top_artists(spark, d):
+    """The order of R2's rows."""
+    return global_rank(reports.top_artists_every_decade(_trends(spark, d), n=5), [*decade_order(), *total_order(["artist"])])
+
+
+def q_rank_slice_years(spark, d):
+    """The years of a slice in order."""
+    counts = reports.drilldown(enriched_tracks(spark, d), "Latin", pop_range=(10, 90)).yearly_counts
+    return global_rank(counts, [F.col("year").asc()])
 
 
 def q_top10_per_gen(spark, d):
@@ -153,13 +254,28 @@ def q_top_n_one_gen(spark, d):
 
 
 def q_gen_platform(spark, d):
-    return build.generation_stats(_tracks(spark, d))
+    return build.catalog_totals(raw_catalog(spark, d), "platform", None)
 
 
 def q_gen_artist(spark, d):
+    return build.catalog_totals(raw_catalog(spark, d), "artist", None)
+
+
+def q_gen_artist_tracks(spark, d):
+    """A2 over normalized rows, as a table of tracks gives it."""
     return build.artist_trends(_tracks(spark, d))
 
 
+def q_zero_totals(spark, d):
+    """A9 in the totals: every popularity is 0, so rows are counted."""
+    return build.catalog_totals(raw_catalog(spark, d, "zero"), "artist", None)
+
+
+def q_fallback_totals(spark, d):
+    """F2 in the totals: no year is in range, so all years count."""
+    return build.catalog_totals(raw_catalog(spark, d, "future"), "platform", None)
+
+
 def q_gen_platform_pivot(spark, d):
     return reports.streams_by_decade_platform(_stats(spark, d))
 
@@ -309,7 +425,9 @@ JOBS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 
 def _x1(c):
-    return f"trim(split_part(trim({c}, '[]'), ',', 1), ' ''\"')"
+    """The first name of a list literal, else the text before the first comma."""
+    return (rf"CASE WHEN {c} LIKE '[''%'']' THEN regexp_extract({c}, '^\[''([^'']*)''', 1) "
+            f"ELSE trim(regexp_extract({c}, '^[^,]*')) END")
 
 
 def _x4(c, default):
@@ -342,12 +460,18 @@ def _x9(c):
     return f"coalesce(TRY_CAST(regexp_replace({c}, '[^0-9]', '', 'g') AS BIGINT), 0)"
 
 
-def _genre_case(c, rules):
-    arms = []
-    for label, needles in rules:
-        cond = " OR ".join(f"contains(lower({c}), '{n}')" for n in needles)
-        arms.append(f"WHEN {cond} THEN '{label}'")
-    return f"CASE {' '.join(arms)} ELSE 'Other' END"
+def _batch_genre(c):
+    """The batch job's rules, restated as patterns."""
+    return (f"CASE WHEN {c} ILIKE '%pop%' THEN 'Pop' WHEN {c} ILIKE '%rock%' THEN 'Rock' "
+            f"WHEN regexp_matches({c}, 'hip hop|rap', 'i') THEN 'Rap' WHEN {c} ILIKE '%funk%' THEN 'Funk' "
+            f"WHEN regexp_matches({c}, 'electro|house|techno|edm|dance', 'i') THEN 'Electronic' ELSE 'Other' END")
+
+
+def _dashboard_genre(c):
+    return (f"CASE WHEN {c} ILIKE '%pop%' THEN 'Pop' WHEN regexp_matches({c}, 'latin|reggaeton|salsa|bachata', 'i') THEN 'Latin' "
+            f"WHEN regexp_matches({c}, 'boy ?band', 'i') THEN 'Boy Band' WHEN regexp_matches({c}, 'hip hop|rap', 'i') THEN 'Rap' "
+            f"WHEN {c} ILIKE '%rock%' THEN 'Rock' WHEN regexp_matches({c}, 'electro|house|techno|edm|dance', 'i') THEN 'Electronic' "
+            f"WHEN {c} ILIKE '%funk%' THEN 'Funk' ELSE 'Other' END")
 
 
 def _etl_sql(variant="standard", keep_platform=False):
@@ -387,9 +511,9 @@ ENRICHED = f"WITH enriched AS ({enriched_tracks_sql()})\n"
 RAW = f"WITH raw AS ({raw_catalog_sql()})\n"
 
 LABELLED_BATCH = (ENRICHED + f", lab AS (SELECT *, {_x6('year')} AS generation, "
-                  f"{_genre_case('genre', GENRE_RULES_BATCH)} AS macro_genre FROM enriched)\n")
+                  f"{_batch_genre('genre')} AS macro_genre FROM enriched)\n")
 LABELLED_DASH = (ENRICHED + f", lab AS (SELECT *, {_x6('year')} AS generation, "
-                 f"{_genre_case('genre', GENRE_RULES_DASHBOARD)} AS macro_genre FROM enriched)\n")
+                 f"{_dashboard_genre('genre')} AS macro_genre FROM enriched)\n")
 
 SHARES_GEN = LABELLED_BATCH + """, c AS (SELECT generation, macro_genre, count(*) AS count FROM lab GROUP BY 1, 2),
 s AS (SELECT *, CAST(sum(count) OVER (PARTITION BY generation) AS BIGINT) AS total FROM c),
@@ -436,8 +560,8 @@ ORACLE: dict[str, str] = {
     "q_decade_clamped": RAW + (f"SELECT release_date, {_x2('release_date')} AS year, "
                                f"{_x5(_x2('release_date'))} AS generation FROM raw"),
     "q_decade_open": ENRICHED + f"SELECT year, {_x6('year')} AS generation FROM enriched",
-    "q_genre5": ENRICHED + f"SELECT genre, {_genre_case('genre', GENRE_RULES_BATCH)} AS macro_genre FROM enriched",
-    "q_genre7": ENRICHED + f"SELECT genre, {_genre_case('genre', GENRE_RULES_DASHBOARD)} AS macro_genre FROM enriched",
+    "q_genre5": ENRICHED + f"SELECT genre, {_batch_genre('genre')} AS macro_genre FROM enriched",
+    "q_genre7": ENRICHED + f"SELECT genre, {_dashboard_genre('genre')} AS macro_genre FROM enriched",
     "q_digits_only": RAW + (f"SELECT release_date, {_x9('release_date')} AS release_digits, popularity, "
                             f"{_x9('popularity')} AS popularity_digits FROM raw"),
     "q_reject_malformed": f"""WITH lines AS ({key_value_lines_sql()}),
@@ -504,6 +628,61 @@ FROM s3 WHERE year IS NOT NULL GROUP BY year""",
     "q_score_feed": TRENDS + """SELECT artist, total_streams FROM trends WHERE generation = '2000s'
 ORDER BY total_streams DESC NULLS LAST, generation, artist LIMIT 15""",
     "q_parquet_roundtrip": STATS + "SELECT * FROM stats",
+    "q_profile_sample": f"""WITH raw AS ({raw_catalog_sql(keys=True)})
+SELECT artists, name, release_date, nullif(popularity, 'n/a') AS popularity, platform, nullif(genre, '') AS genre,
+  CAST(pop AS VARCHAR) AS pop, CAST(order_key AS VARCHAR) AS order_key, CAST(line AS VARCHAR) AS line
+FROM raw ORDER BY raw.order_key, raw.line, raw.artists NULLS FIRST, raw.name, raw.release_date, raw.popularity, raw.platform,
+  raw.genre NULLS FIRST, raw.pop LIMIT 2000""",
+    "q_profile_columns": RAW + """, c AS (SELECT count(*) AS rows, count(artists) AS artists, count(name) AS name, count(release_date) AS release_date,
+  count(popularity) AS popularity, count(platform) AS platform, count(genre) AS genre, count(pop) AS pop FROM raw),
+u AS (SELECT 'artist' AS role, 'artists' AS "column", 0 AS position, rows, rows - artists AS nulls FROM c
+  UNION ALL SELECT 'none', 'name', 1, rows, rows - name FROM c UNION ALL SELECT 'date', 'release_date', 2, rows, rows - release_date FROM c
+  UNION ALL SELECT 'streams', 'popularity', 3, rows, rows - popularity FROM c UNION ALL SELECT 'none', 'platform', 4, rows, rows - platform FROM c
+  UNION ALL SELECT 'none', 'genre', 5, rows, rows - genre FROM c UNION ALL SELECT 'none', 'pop', 6, rows, rows - pop FROM c)
+SELECT *, nulls / rows AS null_share FROM u""",
+    "q_etl_audit": RAW + (f", y AS (SELECT {_x2('release_date')} AS year FROM raw)\n"
+                          "SELECT CASE WHEN year BETWEEN 1921 AND 2020 THEN 'kept' ELSE 'rejected' END AS outcome, "
+                          "CASE WHEN year IS NULL THEN 'no_year' WHEN year BETWEEN 1921 AND 2020 THEN '' ELSE 'out_of_range' END AS reason, "
+                          "count(*) AS rows, 0::BIGINT AS corrupt FROM y GROUP BY 1, 2"),
+    "q_etl_audit_fallback": """WITH y AS (SELECT l_orderkey % 89 = 0 AS none FROM lineitem JOIN part ON l_partkey = p_partkey)
+SELECT CASE WHEN none THEN 'rejected' ELSE 'kept' END AS outcome, CASE WHEN none THEN 'no_year' ELSE '' END AS reason,
+  count(*) AS rows, 0::BIGINT AS corrupt FROM y GROUP BY 1, 2""",
+    "q_etl_case_variants": f"""WITH raw AS ({case_catalog_sql()}), t AS (SELECT *, CAST(year_text AS INTEGER) AS year FROM raw)
+SELECT trim(artist) AS artist, artist AS "Artist_raw", name AS "Name", year_text AS "Year_raw", popularity AS "POPULARITY", platform,
+  {_x4('name', 'Unknown Track')} AS track_name, year, {_x3('popularity')} AS streams, {_x5('year')} AS generation
+FROM t WHERE year BETWEEN 1921 AND 2020""",
+    "q_records_with_breaks": broken_lines_sql(),
+    "q_run_etl_counts": RAW + f""", y AS (SELECT {_x2('release_date')} AS year FROM raw),
+c AS (SELECT count(*) AS n, count(year) AS has, count_if(year BETWEEN 1921 AND 2020) AS good FROM y)
+SELECT unnest(['read', 'kept', 'rejected', 'no_year', 'out_of_range', 'corrupt', 'short', 'latin_1', 'utf_8']) AS name,
+  unnest([n, good::BIGINT, n - good::BIGINT, n - has, has - good::BIGINT, 0, 0, 0, 0]) AS rows FROM c""",
+    "q_run_etl_rejects": RAW + f""", y AS (SELECT name, release_date, {_x2('release_date')} AS year, {_x3('popularity')} AS streams FROM raw)
+SELECT *, CASE WHEN year IS NULL THEN 'no_year' ELSE 'out_of_range' END AS reject_reason FROM y
+WHERE year IS NULL OR year NOT BETWEEN 1921 AND 2020""",
+    "q_strict_commas": f"""WITH raw AS ({case_catalog_sql()}), t AS (SELECT *, CAST(year_text AS INTEGER) AS year FROM raw)
+SELECT {_x5('year')} AS generation, trim(artist) AS artist, CAST(sum({_x3('popularity')}) AS BIGINT) AS total_streams
+FROM t WHERE year BETWEEN 1921 AND 2020 AND NOT contains(artist, ',') GROUP BY 1, 2""",
+    "q_build_strict_counts": f"""WITH raw AS ({case_catalog_sql()}), t AS (SELECT *, CAST(year_text AS INTEGER) AS year FROM raw),
+k AS (SELECT *, {_x5('year')} AS generation, contains(artist, ',') AS lost FROM t WHERE year BETWEEN 1921 AND 2020)
+SELECT unnest(['read', 'rejected', 'kept', 'trends', 'stats']) AS name, unnest([count(*), count_if(lost)::BIGINT, count_if(NOT lost)::BIGINT,
+  count(DISTINCT CASE WHEN NOT lost THEN generation || '|' || artist END), count(DISTINCT generation || '|' || platform)]) AS rows FROM k""",
+    "q_rank_totals": TRENDS + """SELECT *, row_number() OVER (ORDER BY total_streams DESC NULLS LAST, generation, artist) AS rank FROM trends""",
+    "q_rank_platform_totals": STATS + """SELECT *, row_number() OVER (ORDER BY total_streams DESC NULLS LAST, generation, platform) AS rank FROM stats""",
+    "q_rank_decades": STATS + """SELECT generation,
+  CAST(coalesce(sum(CASE WHEN platform = 'A' THEN total_streams END), 0) AS BIGINT) AS "A",
+  CAST(coalesce(sum(CASE WHEN platform = 'N' THEN total_streams END), 0) AS BIGINT) AS "N",
+  CAST(coalesce(sum(CASE WHEN platform = 'R' THEN total_streams END), 0) AS BIGINT) AS "R",
+  row_number() OVER (ORDER BY TRY_CAST(left(generation, 4) AS INTEGER) NULLS LAST, generation) AS rank
+FROM stats GROUP BY generation""",
+    "q_rank_top_artists": TRENDS + """, r AS (SELECT *, row_number() OVER (PARTITION BY generation
+        ORDER BY total_streams DESC NULLS LAST, artist ASC) AS rn FROM trends)
+SELECT generation, artist, total_streams, row_number() OVER (ORDER BY TRY_CAST(left(generation, 4) AS INTEGER) NULLS LAST, generation,
+  total_streams DESC, artist) AS rank FROM r WHERE rn <= 5""",
+    "q_rank_slice_years": _slice_sql("Latin", None, None, 10, 90) + """, n AS (SELECT year, count(*) AS n_tracks
+FROM s3 WHERE year IS NOT NULL GROUP BY year) SELECT *, row_number() OVER (ORDER BY year) AS rank FROM n""",
+    "q_gen_artist_tracks": TRENDS + "SELECT * FROM trends",
+    "q_zero_totals": "WITH " + _etl_sql("zero", keep_platform=True) + "\n" + _sum_by_sql("artist", "Unknown Artist"),
+    "q_fallback_totals": "WITH " + _etl_sql("future", keep_platform=True) + "\n" + _sum_by_sql("platform", "unknown"),
     "q_build_files": TRENDS + """, r AS (SELECT *, row_number() OVER (PARTITION BY generation
         ORDER BY total_streams DESC NULLS LAST, artist ASC) AS rn FROM trends)
 SELECT generation, artist, total_streams FROM r WHERE rn <= 10""",

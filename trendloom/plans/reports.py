@@ -8,14 +8,14 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trendloom.functions.decades import decade_sort_key
 from trendloom.functions.genres import GENRE_RULES_DASHBOARD
 from trendloom.functions.numeric import digits_only
-from trendloom.operators.aggregates import count_by, distinct_sorted
+from trendloom.operators.aggregates import count_by, distinct_sorted, profile_columns
 from trendloom.operators.columns import (
+    PROFILE_ROLES,
     checked_select,
     column_candidates,
     metric_columns,
@@ -23,10 +23,11 @@ from trendloom.operators.columns import (
     subset_columns,
 )
 from trendloom.operators.filters import equals_filter, range_filter
-from trendloom.operators.ordering import top_rows
+from trendloom.operators.ordering import order_decades, preview, top_rows, total_order
 from trendloom.operators.pivots import pivot_table
 from trendloom.operators.windows import top_n_per_group
 from trendloom.plans.genre_share import genre_share_by_year, labelled
+from trendloom.sources.readers import read_sample
 
 # Candidate column names the dashboards look for.
 GENERATION_CANDIDATES = ["generation", "geracao", "decade"]
@@ -45,7 +46,7 @@ def streams_by_decade_platform(stats: DataFrame, platforms: list[str] | None = N
     """Decade x platform matrix of total streams, decades in numeric order."""
     stats = _clean_totals(checked_select(stats, ["generation", "platform", "total_streams"]))
     table = pivot_table(stats, "generation", "platform", "total_streams", categories=platforms, fill=0)
-    return table.orderBy(decade_sort_key(F.col("generation")), F.col("generation"))
+    return order_decades(table)
 
 
 def grand_total(table: DataFrame, key: str = "generation") -> DataFrame:
@@ -62,8 +63,7 @@ def top_artists_every_decade(top: DataFrame, n: int = 10) -> DataFrame:
     """R2: the n best artists of every decade, decades in numeric order."""
     top = _clean_totals(checked_select(top, ["generation", "artist", "total_streams"]))
     best = top_n_per_group(top, ["generation"], "total_streams", n, tie_break=["artist"])
-    return best.orderBy(decade_sort_key(F.col("generation")), F.col("generation"),
-                        F.col("total_streams").desc(), F.col("artist"))
+    return order_decades(best, "generation", *total_order(["artist"]))
 
 
 def genre_composition(share: DataFrame) -> DataFrame:
@@ -169,7 +169,19 @@ class Profile:
 
 
 def profile(raw: DataFrame, sample_rows: int = 2000, preview_rows: int = 5) -> Profile:
-    """Column list, a bounded sample, a preview and per-role candidates."""
-    sample = raw.limit(sample_rows)
-    return Profile(list(raw.columns), sample, sample.limit(preview_rows),
-                   column_candidates(list(raw.columns)))
+    """Column list, a bounded sample (any rows), a preview and per-role candidates."""
+    return _profile(raw.limit(sample_rows), preview_rows)
+
+
+def profile_file(spark: SparkSession, path: str, sample_rows: int = 2000, preview_rows: int = 5) -> Profile:
+    """R9 of a delimited file: the sample is its first records."""
+    return _profile(read_sample(spark, path, sample_rows), preview_rows)
+
+
+def _profile(sample: DataFrame, preview_rows: int) -> Profile:
+    return Profile(list(sample.columns), sample, preview(sample, preview_rows), column_candidates(list(sample.columns)))
+
+
+def profile_table(raw: DataFrame) -> DataFrame:
+    """P10/R9 over all rows: role, column, position, rows, nulls, null_share, distinct_estimate."""
+    return profile_columns(raw, PROFILE_ROLES)

@@ -1,13 +1,12 @@
 """Readers (S1-S8).
 
-Raw catalogs are read all-string in one pass (no schema inference job);
-typing happens in the cleaning expressions. Sniffing touches only the header
-line and, when the encoding is not given, one distributed validity scan.
+Raw catalogs are read all-string (no schema inference job); typing happens in
+the cleaning expressions. Sniffing touches only the header; bytes that are no
+UTF-8 are told in the pass that parses them.
 """
 
 from __future__ import annotations
 
-import csv
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
@@ -17,11 +16,11 @@ from pyspark.sql import types as T
 
 from trendloom.functions.numeric import to_double
 from trendloom.operators.filters import parse_key_value_lines
+from trendloom.sources import records
 from trendloom.sources.layout import COLUMN_TYPES, GENERATION_STATS_FILES, TOP_ARTISTS_FILES, Layout
+from trendloom.sources.publish import finished
 
-# Separator and encoding candidates, in trial order.
-SEPARATORS = (",", ";", "\t")
-ENCODINGS = ("utf-8", "iso-8859-1")  # Latin-1 under its Java charset name
+SEPARATORS = (",", ";", "\t")  # fixed values: candidates, in trial order
 
 # The texts a pandas CSV read turns into missing values.
 NA_VALUES = (
@@ -50,37 +49,24 @@ def _guard(read: Callable[[], DataFrame], path: str) -> DataFrame:
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    """True when ``path`` holds a data file (a folder left by a failed job doesn't)."""
+    """True when ``path`` holds a data file; a folder that a failed job left doesn't, nor one of Spark's writers without their mark of success."""
     try:
-        return bool(spark.read.format("text").load(path).inputFiles())
+        files = spark.read.format("text").load(path).inputFiles()
+        return bool(files) and finished(spark, path)
     except AnalysisException as e:
         if _missing(e):
             return False
         raise
 
 
-def _header_fields(header: str, sep: str) -> int:
-    return len(next(csv.reader([header], delimiter=sep, quotechar='"'), []))
-
-
 def sniff_separator(header: str) -> str:
     """First separator that splits the header into at least two fields."""
     for sep in SEPARATORS:
-        if _header_fields(header, sep) >= 2:
+        if len(records.header_names(header, sep)) >= 2:
             return sep
     raise ValueError(f"could not split the header with any of {SEPARATORS!r}: {header[:80]!r}")
 
 
-def sniff_encoding(spark: SparkSession, path: str) -> str:
-    """UTF-8 unless some line is not valid UTF-8 (then Latin-1).
-
-    One distributed scan that stops at the first invalid line; pass the
-    encoding explicitly to skip it.
-    """
-    lines = spark.read.format("text").load(path)
-    return ENCODINGS[0] if lines.filter(~F.is_valid_utf8("value")).isEmpty() else ENCODINGS[1]
-
-
 def null_vocabulary(df: DataFrame, na_values=NA_VALUES) -> DataFrame:
     """The missing-value vocabulary applied once, to every text column."""
     na = list(na_values)
@@ -94,36 +80,52 @@ def null_vocabulary(df: DataFrame, na_values=NA_VALUES) -> DataFrame:
     return df.select(*out)
 
 
+def open_delimited(spark: SparkSession, path: str, sep: str | None = None) -> records.Dialect:
+    """The separator and header of S1."""
+    return _guard(lambda: records.read_dialect(spark, path, SEPARATORS if sep is None else (sep,)), path)
+
+
+def parse_delimited(found: DataFrame, dialect: records.Dialect, encoding: str | None = None, na_values=NA_VALUES, info: str | None = None) -> DataFrame:
+    """The fields of records, the missing-value texts null, under the header's names as they stand."""
+    rows = records.parsed(found, dialect, records.charset(encoding), "_info")
+    rows = null_vocabulary(rows, na_values) if na_values else rows
+    return rows.toDF(*dialect.names, info) if info else rows.drop("_info").toDF(*dialect.names)
+
+
 def read_delimited(spark: SparkSession, path: str, sep: str | None = None,
                    encoding: str | None = None, na_values=NA_VALUES,
-                   multi_line: bool = False) -> DataFrame:
+                   multi_line: bool | None = None, info: str | None = None) -> DataFrame:
     """Delimited text with separator/encoding sniffing, all columns string.
 
-    ``multi_line=True`` allows quoted line breaks but makes each file one
-    task; keep it off for large inputs.
+    Names are those of the header, case included; a line equal to the header
+    is a header wherever it stands, and blank lines are left out. Quoted line
+    breaks stay in their fields: ``multi_line=None`` finds the files that hold
+    some by one pass over the lines, False reads each line as a record without
+    that pass, True regroups all files. Files stay splittable in any case.
+
+    Without ``encoding`` a record is UTF-8, or Latin-1 where its bytes are no
+    UTF-8. ``info`` names a struct column (``records.INFO``) that tells ragged
+    records, with their text, and encodings; a short record's missing fields are
+    null, a long one's surplus is in that text only.
+    """
+    dialect = open_delimited(spark, path, sep)
+    return parse_delimited(records.read_records(spark, path, dialect, multi_line), dialect, encoding, na_values, info)
+
+
+def read_sample(spark: SparkSession, path: str, n: int = 2000, sep: str | None = None,
+                encoding: str | None = None, na_values=NA_VALUES, multi_line: bool | None = None) -> DataFrame:
+    """The first n records, in order of files (by path) and of places in them.
+
+    Reads the first files only, as many as it takes; each task passes on n records at most.
     """
-    if sep is None:
-        first = _guard(lambda: spark.read.format("text").load(path), path).first()
-        if first is None:
-            raise ValueError(f"empty input: {path}")
-        header = first[0]
-        if isinstance(header, (bytes, bytearray)):
-            header = header.decode("latin-1")
-        sep = sniff_separator(header.lstrip("﻿"))
-    if encoding is None:
-        encoding = sniff_encoding(spark, path)
-    df = _guard(lambda: (spark.read.option("header", True).option("sep", sep)
-                         .option("encoding", encoding).option("quote", '"')
-                         .option("escape", '"').option("multiLine", multi_line)
-                         .option("mode", "PERMISSIVE").csv(path)), path)
-    if len(df.columns) < 2:
-        raise ValueError(f"fewer than two columns with sep={sep!r}: {path}")
-    return null_vocabulary(df, na_values) if na_values else df
-
-
-def read_sample(spark: SparkSession, path: str, n: int = 2000, **kw) -> DataFrame:
-    """The first n rows only."""
-    return read_delimited(spark, path, **kw).limit(n)
+    dialect = open_delimited(spark, path, sep)
+    files = sorted(spark.read.format("text").load(path).inputFiles())
+    k = 1
+    while True:
+        first = records.ordered_records(spark, path, dialect, records.spellings(files[:k]), multi_line).orderBy("file", "block", "n").limit(n)
+        if k >= len(files) or first.count() == n:
+            return parse_delimited(first.select("value"), dialect, encoding, na_values)
+        k *= 8
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None,

@@ -1,4 +1,4 @@
-"""Writers (K1-K5). Every writer overwrites its target (K5)."""
+"""Writers (K1-K5). Every writer overwrites its target (K5), by publishing a finished table in its place."""
 
 from __future__ import annotations
 
@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from trendloom.sources.publish import published, remove
+
 log = logging.getLogger(__name__)
 
 # Conditions under which Spark refuses to write a type.
@@ -16,11 +18,10 @@ UNWRITABLE = ("UNSUPPORTED_DATA_TYPE_FOR_DATASOURCE", "UNSUPPORTED_DATASOURCE_FO
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None) -> str:
-    w = df.write.mode("overwrite")
+    w = df.write
     if partition_by:
         w = w.partitionBy(*list(partition_by))
-    w.parquet(path)
-    return path
+    return published(df.sparkSession, path, w.parquet)
 
 
 def _escaped(c: Column) -> Column:
@@ -38,7 +39,9 @@ def write_parquet_safe(df: DataFrame, path: str, partition_by: list[str] | None
     """K1: Parquet, or a CSV beside it when Parquet can't hold a column's type.
 
     Such a type is refused before anything runs or is written. Failures of the
-    data or the job are raised as they are, and nothing is computed twice.
+    data or the job are raised as they are, and nothing is computed twice. In
+    the CSV, columns of no simple type are text; an earlier Parquet at ``path``
+    goes once the CSV is whole, so that readers (S4) don't take it for the new one.
     """
     try:
         return write_parquet(df, path, partition_by)
@@ -47,10 +50,24 @@ def write_parquet_safe(df: DataFrame, path: str, partition_by: list[str] | None
             raise
         target = csv_sibling(path)
         log.warning("parquet write failed (%s); writing CSV to %s", e, target)
-        write_csv(df, target)
+        write_csv(as_text(df), target)
+        remove(df.sparkSession, path)
         return target
 
 
+def as_text(df: DataFrame) -> DataFrame:
+    """Columns that a CSV can't hold as text: JSON of arrays, maps and structs, else Spark's own text of the value."""
+    out = []
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            c = F.to_json(c)
+        elif isinstance(f.dataType, (T.NullType, T.CalendarIntervalType, T.VariantType)) or not isinstance(f.dataType, T.AtomicType):
+            c = c.cast("string")
+        out.append(c.alias(f.name))
+    return df.select(*out)
+
+
 def write_csv(df: DataFrame, path: str, single_file: bool = False, escape_breaks: bool = False) -> str:
     """K2: header CSV with RFC-4180 quoting; outer spaces are kept.
 
@@ -64,9 +81,9 @@ def write_csv(df: DataFrame, path: str, single_file: bool = False, escape_breaks
     out = df.coalesce(1) if single_file else df
     if escape_breaks:
         out = out.select(*[_escaped(F.col(f"`{f.name}`")).alias(f.name) if isinstance(f.dataType, T.StringType) else F.col(f"`{f.name}`") for f in out.schema.fields])
-    (out.write.mode("overwrite").option("header", True).option("escape", '"')
-        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
-    return path
+    w = (out.write.option("header", True).option("escape", '"')
+         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
+    return published(df.sparkSession, path, w.csv)
 
 
 def format_decimals(df: DataFrame, decimals: int = 2) -> DataFrame:
@@ -89,5 +106,4 @@ def write_csv_decimals(df: DataFrame, path: str, decimals: int = 2, single_file:
 
 def write_jsonl(df: DataFrame, path: str) -> str:
     """K4: one JSON object per line; readers take the whole directory."""
-    df.write.mode("overwrite").json(path)
-    return path
+    return published(df.sparkSession, path, df.write.json)
