@@ -12,8 +12,13 @@ state and no merge has to be replayed over the text.
 Texts are cut into chunks. A chunk's state map is (head, count, tail): between
 its first and last word boundary the start state doesn't matter, so the count
 there is fixed, and the state at either edge is named by the characters since
-the boundary. Maps compose associatively, and are composed in order for each
-document; only the maps are shuffled, never the text.
+the boundary. Maps compose associatively: a batch composes the chunks that it
+holds of a document, and a document what its batches gave, in order. Only maps
+are shuffled; a stretch without a boundary is its own map, so text without
+spaces goes along as it stands.
+
+What is compiled stays with the Python worker, by vocabulary, and serves the
+tasks that come after.
 
 Defined results: a null text counts as empty, an empty text has no tokens; rows
 that repeat are counted one by one; a null id stays null.
@@ -22,13 +27,16 @@ that repeat are counted one by one; a null id stays null.
 from __future__ import annotations
 
 import heapq
+from collections.abc import Iterable
+from functools import reduce
+from itertools import groupby, islice
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trendloom.llm.common import map_batches, sorted_groups
 
-#: Characters of a chunk, and states or words that a task holds at most (beyond it starts anew).
+#: Characters of a chunk, and states or words that a worker holds at most (beyond it, states start anew and the older half of the words goes).
 CHUNK, STATES, WORDS = 1 << 15, 200_000, 200_000
 SPACE = "▁"
 
@@ -118,7 +126,7 @@ class Transducer:
 
     def alone(self, word: str) -> bool:
         """Whether the leading SPACE of a word stays a token of its own."""
-        return len(word) == 1 or word[1] not in self.score or self.word(word) == self.word(word[1:]) + 1 and self.merge(list(word[:64]))[0] == SPACE
+        return len(word) == 1 or word[1] not in self.score or self.word(word) == self.word(word[1:]) + 1 and self.merge(list(word))[0] == SPACE
 
     def run(self, n: int) -> int:
         """Tokens of ``n`` spaces that nothing merges with."""
@@ -138,7 +146,8 @@ class Words(dict):
 
     def __missing__(self, word: str) -> int:
         if len(self) >= WORDS:
-            self.clear()
+            for old in [*islice(self, WORDS // 2)]:
+                del self[old]
         n = self[word] = self.t.word(word)
         return n
 
@@ -197,15 +206,37 @@ class Counter:
             i = s.rfind(" ", 0, i) if back else s.find(" ", i + 1)
 
 
-def compose(counter: Counter, maps: list[tuple[str, int | None, str]]) -> int:
-    """The count of the chunks' maps in order, from the start of a text."""
-    total, held = 0, []
-    for head, count, tail in maps:
-        held.append(head)
-        if count is not None:
-            total += counter.segment("".join(held)) + count
-            held = [tail]
-    return total + (counter.segment("".join(held)) if any(held) else 0)
+Map = tuple[str, int | None, str]
+
+
+def join(counter: Counter, left: Map, right: Map) -> Map:
+    """The map of two stretches in a row."""
+    (head, count, tail), (head_2, count_2, tail_2) = left, right
+    if count is None:
+        return head + head_2, count_2, tail_2
+    if count_2 is None:
+        return head, count, tail + head_2
+    return head, count + counter.segment(tail + head_2) + count_2, tail_2
+
+
+def joined(counter: Counter, maps: Iterable[Map]) -> Map:
+    return reduce(lambda a, b: join(counter, a, b), maps, ("", None, ""))
+
+
+def compose(counter: Counter, maps: Iterable[Map]) -> int:
+    """The count of the stretches' maps in order, from the start of a text."""
+    head, count, tail = joined(counter, maps)
+    return sum(counter.segment(s) for s in (head, tail) if s) + (count or 0)
+
+
+_COUNTERS: dict[str, Counter] = {}
+
+
+def counter_of(model: str) -> Counter:
+    """This worker's counter for a vocabulary."""
+    if model not in _COUNTERS:
+        _COUNTERS[model] = Counter(model)
+    return _COUNTERS[model]
 
 
 def count_tokens(docs: DataFrame, model: str, doc_id: str = "doc_id", text: str = "text", limit: int = 4096, chunk: int = CHUNK) -> DataFrame:
@@ -217,21 +248,24 @@ def count_tokens(docs: DataFrame, model: str, doc_id: str = "doc_id", text: str
     chunks = rows.select("row", "doc_id", "n_bytes", F.posexplode_outer(F.regexp_extract_all(spaced, F.lit(f"(?s).{{1,{chunk}}}"), F.lit(0))).alias("no", "chunk"))
 
     def maps():
-        counter = Counter(model)
+        counter = counter_of(model)
 
         def one(row, ids, n_bytes, no, texts):
-            made = [counter.chunk(s) if s else ("", None, "") for s in texts.to_pylist()]
-            return {"row": row, "doc_id": ids, "n_bytes": n_bytes, "no": no, "head": [m[0] for m in made], "count": [m[1] for m in made], "tail": [m[2] for m in made]}
+            out = {c: [] for c in ("row", "doc_id", "n_bytes", "no", "head", "count", "tail")}
+            held = zip(row.to_pylist(), ids.to_pylist(), n_bytes.to_pylist(), no.to_pylist(), texts.to_pylist(), strict=True)
+            for r, chunks in groupby(held, key=lambda c: c[0]):
+                chunks = list(chunks)
+                made = joined(counter, (counter.chunk(c[4]) for c in chunks if c[4]))
+                for name, value in zip(out, (r, *chunks[0][1:4], *made), strict=True):
+                    out[name].append(value)
+            return out
 
         return one
 
     parts = map_batches(chunks, "row long, doc_id long, n_bytes long, no int, head string, count long, tail string", maps)
-    counters: list[Counter] = []
 
     def whole(key, rows):
-        if not counters:
-            counters.append(Counter(model))
-        n = compose(counters[0], [r[3:] for r in rows])
+        n = compose(counter_of(model), (r[3:] for r in rows))
         yield rows[0][0], rows[0][1], n, n > limit
 
     return sorted_groups(parts, ["row"], ["no"], "doc_id long, n_bytes long, n_tokens long, over_limit boolean", whole)
