@@ -10,7 +10,7 @@ The pattern has four states, so a run of rows acts as a map from state to state.
 Rows are dealt by ranges of (conv_id, turn, role, text) and cut into blocks;
 each block gives its map, and a conversation folds the maps of its blocks in
 order. A conversation of any length is thus shared by many tasks, and a task
-holds one block at a time. Only ``digests`` runs through a conversation's
+holds one block at a time. Only ``repair_digests`` runs through a conversation's
 repaired lines in one task, a block at a time, as SHA-256 can't be split.
 
 Within a block, audits that are alive share their prefixes: an audit is a node
@@ -30,7 +30,7 @@ empty audit at no cost. Other columns are ignored, whatever their names.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -161,8 +161,8 @@ class Repair:
         return [{"start": start, "end": s, "cost": c, "audit": self.trails.spell(n)} for s, (c, n) in self.live.items()]
 
 
-def apply_edits(audit: str, state: int, roles: list[str], texts: list[str]) -> tuple[list[tuple[str, str]], int]:
-    """The repaired rows of a block whose audit begins in ``state``, and the state at its end."""
+def apply_edits(audit: str, state: int, roles: list[str], texts: list[str]) -> list[tuple[str, str]]:
+    """The repaired rows of a block whose audit begins in ``state``."""
     out, at = [], 0
     state = NOTHING if state == START else state
     for edit in audit:
@@ -179,7 +179,7 @@ def apply_edits(audit: str, state: int, roles: list[str], texts: list[str]) -> t
         else:
             state = ONWARD[state]
         out.append((role if edit == KEEP else ROLE[state], text))
-    return out, state
+    return out
 
 
 def damage(rows: DataFrame) -> DataFrame:
@@ -254,8 +254,8 @@ def blocks(rows: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """The blocks of all conversations, in order of (part, block), with their maps."""
     arrow = to_arrow_schema(StructType.fromDDL(BLOCKS))
     order = [F.col("conv_id").asc_nulls_first(), F.col("turn").asc_nulls_first(), F.col("role").asc()]
-    # ranges by the begin of a text only, so that long texts don't go into the ranges' sample
-    dealt = faults(rows).repartitionByRange(*order, F.substring("text", 1, 64).asc()).sortWithinPartitions(*order, F.col("text").asc())
+    # written, as the ranges' sample reads it once more; by the begin of a text only, so that long texts don't go into the sample
+    dealt = stage(faults(rows), "conversation-faults").repartitionByRange(*order, F.substring("text", 1, 64).asc()).sortWithinPartitions(*order, F.col("text").asc())
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, number, out, size = TaskContext.get().partitionId(), 0, [], 0
@@ -345,57 +345,84 @@ def _earlier(x: tuple, y: tuple) -> bool:
     return "".join(reversed(a)) < "".join(reversed(b))
 
 
-def repair(rows: DataFrame, block_rows: int = BLOCK_ROWS) -> tuple[DataFrame, DataFrame]:
-    """(audits, repaired): for each conversation conv_id, gaps, blank, duplicate, truncated, illegal, cost, audit;
-    and its repaired rows by (part, block, line): conv_id, part, block, line, role, text."""
-    blocked = blocks(rows, block_rows)
-    found = stage(audits(blocked), "conversation-audits")
-    slices = found.select(F.explode("slices").alias("s")).select("s.*")
-    joined = blocked.select("conv_id", "part", "block", "roles", "texts").join(slices, ["part", "block"])
-    schema = "conv_id long, part int, block long, line int, role string, text string"
-    arrow = to_arrow_schema(StructType.fromDDL(schema))
+def _edited(blocked: DataFrame, found: DataFrame, by: list[str], schema: str, consume: Callable[[Iterator[tuple]], Iterator[dict]]) -> DataFrame:
+    """``consume`` over the repaired blocks (conv_id, part, block, rows) of each task, dealt ``by`` these columns and in order.
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for r in b.to_pylist():
-                fixed, _ = apply_edits(r["audit"], r["start"], r["roles"], r["texts"])
-                yield pa.RecordBatch.from_pylist([{"conv_id": r["conv_id"], "part": r["part"], "block": r["block"], "line": i, "role": role, "text": text} for i, (role, text) in enumerate(fixed)], schema=arrow)
-
-    return found.drop("slices"), joined.mapInArrow(run, schema)
-
-
-def digests(repaired: DataFrame) -> DataFrame:
-    """conv_id, repaired_sha256: of the lines ``role:text``, joined by line ends, as they stream by."""
-    schema = "conv_id long, repaired_sha256 string"
+    A block's audit is sorted to stand just before it, so a task holds one block at a time.
+    """
     arrow = to_arrow_schema(StructType.fromDDL(schema))
-    dealt = repaired.repartition("conv_id").sortWithinPartitions(F.col("conv_id").asc_nulls_first(), "part", "block", "line")
+    slices = found.select("conv_id", F.explode("slices").alias("s"))
+    none = F.lit(None).cast("array<string>")
+    audit = slices.select("conv_id", "s.part", "s.block", F.lit(0).alias("kind"), "s.start", "s.audit", none.alias("roles"), none.alias("texts"))
+    held = blocked.select("conv_id", "part", "block", F.lit(1).alias("kind"), F.lit(None).cast("int").alias("start"), F.lit(None).cast("string").alias("audit"), "roles", "texts")
+    dealt = audit.unionByName(held).repartition(*by).sortWithinPartitions(F.col("conv_id").asc_nulls_first(), "part", "block", "kind")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, sha, out = (), None, []
-        for b in batches:
-            for conv, role, text in zip(*(b.column(c).to_pylist() for c in ("conv_id", "role", "text")), strict=True):
-                if (conv,) != now:
-                    if sha:
-                        out.append({"conv_id": now[0], "repaired_sha256": sha.hexdigest()})
-                    now, sha = (conv,), hashlib.sha256()
-                else:
-                    sha.update(b"\n")
-                sha.update(f"{role}:{text}".encode())
-            if out:
+        def blocks() -> Iterator[tuple]:
+            start = audit = None
+            for b in batches:
+                for conv, part, block, kind, s, a, roles, texts in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                    if kind:
+                        yield conv, part, block, apply_edits(audit, start, roles, texts)
+                    else:
+                        start, audit = s, a
+
+        out = []
+        for row in consume(blocks()):
+            out.append(row)
+            if len(out) >= BLOCK_ROWS:
                 yield pa.RecordBatch.from_pylist(out, schema=arrow)
                 out = []
-        if sha:
-            yield pa.RecordBatch.from_pylist([{"conv_id": now[0], "repaired_sha256": sha.hexdigest()}], schema=arrow)
+        if out:
+            yield pa.RecordBatch.from_pylist(out, schema=arrow)
 
     return dealt.mapInArrow(run, schema)
 
 
+def _lines(blocks: Iterator[tuple]) -> Iterator[dict]:
+    for conv, part, block, rows in blocks:
+        for i, (role, text) in enumerate(rows):
+            yield {"conv_id": conv, "part": part, "block": block, "line": i, "role": role, "text": text}
+
+
+def _digests(blocks: Iterator[tuple]) -> Iterator[dict]:
+    now, sha, lines = (), None, 0
+    for conv, _, _, rows in blocks:
+        if (conv,) != now:
+            if sha:
+                yield {"conv_id": now[0], "repaired_sha256": sha.hexdigest()}
+            now, sha, lines = (conv,), hashlib.sha256(), 0
+        for role, text in rows:
+            sha.update(f"{chr(10) if lines else ''}{role}:{text}".encode())
+            lines += 1
+    if sha:
+        yield {"conv_id": now[0], "repaired_sha256": sha.hexdigest()}
+
+
+def _audited(rows: DataFrame, block_rows: int) -> tuple[DataFrame, DataFrame]:
+    blocked = blocks(rows, block_rows)
+    return blocked, stage(audits(blocked), "conversation-audits")
+
+
+def repair(rows: DataFrame, block_rows: int = BLOCK_ROWS) -> tuple[DataFrame, DataFrame]:
+    """(audits, repaired): for each conversation conv_id, gaps, blank, duplicate, truncated, illegal, cost, audit;
+    and its repaired rows by (part, block, line): conv_id, part, block, line, role, text."""
+    blocked, found = _audited(rows, block_rows)
+    schema = "conv_id long, part int, block long, line int, role string, text string"
+    return found.drop("slices"), _edited(blocked, found, ["part", "block"], schema, _lines)
+
+
+def repair_digests(rows: DataFrame, block_rows: int = BLOCK_ROWS) -> tuple[DataFrame, DataFrame]:
+    """(audits, digests): as ``repair``, with conv_id, repaired_sha256 (of the lines ``role:text``, joined by line ends)."""
+    blocked, found = _audited(rows, block_rows)
+    return found.drop("slices"), _edited(blocked, found, ["conv_id"], "conv_id long, repaired_sha256 string", _digests)
+
+
 def repair_damaged(rows: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """One row for each conversation of ``rows``: what ``damage`` did to it, the audit that repairs it, the repaired digest."""
-    found, repaired = repair(damage(rows), block_rows)
+    found, sums = repair_digests(damage(rows), block_rows)
     ids = rows.select(F.col("conv_id").cast("long").alias("conv_id")).distinct()
     empty = F.sha2(F.lit("").cast("binary"), 256)
-    sums = digests(repaired)
     out = ids.join(found.withColumnRenamed("conv_id", "c"), F.col("conv_id").eqNullSafe(F.col("c")), "left").drop("c")
     out = out.join(sums.withColumnRenamed("conv_id", "c"), F.col("conv_id").eqNullSafe(F.col("c")), "left").drop("c")
     zero = ["gaps", "blank", "duplicate", "truncated", "illegal"]
