@@ -19,19 +19,43 @@ WORD = r"[^\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+#: Spark's setting that removes the shuffle files of a query once it has ended.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared scratch folder and read it back: lineage ends here."""
+    """Write ``df`` to the shared scratch folder and read it back: lineage ends here, and the write's shuffle files go with it."""
     spark = df.sparkSession
     path = f"{checkpoint_root(spark)}/llm-{name}-{uuid.uuid4().hex}"
-    spark.sparkContext._jvm.System.gc()  # so that Spark's cleaner drops the shuffle files of finished stages
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before) if before is not None else spark.conf.unset(CLEANUP)
+    STAGED.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: The tables that this driver has staged, in order.
+STAGED: list[str] = []
+
+
+def settle(df: DataFrame, name: str, since: int) -> DataFrame:
+    """Stage ``df``, then delete all tables staged since STAGED had ``since`` entries: what ``df`` was made of."""
+    out = stage(df, name)
+    spark = df.sparkSession
+    for old in STAGED[since:-1]:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(old)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    del STAGED[since:-1]
+    return out
+
+
 def discard(df: DataFrame) -> None:
     """Delete the table that ``stage`` wrote for ``df``, once all that is made of it is written too."""
     spark = df.sparkSession
@@ -41,6 +65,30 @@ def discard(df: DataFrame) -> None:
             path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def keyed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, bool]:
+    """All columns by position (c0, c1, ...) with ``key``, and whether any id has texts that differ.
+
+    The key names a document: it is the id, but where texts that differ share an
+    id each of these gets a key of its own, from 2^62 on, by a hash of id and text. Rows of
+    one id and text have one key; a null id has none.
+    """
+    at = {c: F.col(f"c{docs.columns.index(c)}") for c in (doc_id, text)}
+    flat = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    plain = flat.withColumn("key", at[doc_id].cast("long"))
+    h = F.xxhash64(at[text])
+    several = plain.where("key IS NOT NULL").groupBy("key").agg(F.min(h).alias("lo"), F.max(h).alias("hi")).where("lo <> hi").select("key", F.lit(True).alias("parted"))
+    if several.isEmpty():
+        return plain, False
+    own = F.xxhash64("key", at[text]).bitwiseAND((1 << 62) - 1).bitwiseOR(F.lit(1 << 62))
+    joined = plain.join(several, "key", "left")
+    return joined.select(*flat.columns, F.when(F.col("parted"), own).otherwise(F.col("key")).alias("key")), True
+
+
+def slim(flat: DataFrame, docs: DataFrame, text: str = "text") -> DataFrame:
+    """doc_id (the key) and text of what ``keyed`` made of ``docs``."""
+    return flat.select(F.col("key").alias("doc_id"), F.col(f"c{docs.columns.index(text)}").alias("text"))
+
+
 def lower_ascii(c: Column) -> Column:
     return F.translate(c, UPPER, LOWER)
 
@@ -232,3 +280,36 @@ def rarity_table(counts: DataFrame, bits: int) -> np.ndarray:
     """(bucket, n; a row for each task) -> by bucket, 1 + the power of two of its count (0: none)."""
     sums = counts.groupBy("bucket").agg(F.sum("n").alias("n"))
     return byte_table(sums.withColumn("level", F.floor(F.log2("n") + 1e-9) + 1), "level", bits)
+
+
+#: Bits that a table which is sent to all tasks has at most, as a power of two.
+MOST_BITS = 27
+
+
+class BitTable:
+    """A set of hashes as bits; may hold more than was put in, never less."""
+
+    def __init__(self, bits: np.ndarray):
+        self.bits, self.mask = bits, np.uint64(len(bits) * 8 - 1)
+
+    def holds(self, h: np.ndarray) -> np.ndarray:
+        at = h & self.mask
+        return (self.bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
+
+    @classmethod
+    def of(cls, hashes: DataFrame, n: int, part_bits: int = 15) -> BitTable:
+        """From the column ``h`` of ``n`` rows: 32 bits or more for each, gathered in parts of a bounded number and size."""
+        bits = min(MOST_BITS, max(part_bits, (32 * n).bit_length()))
+
+        def fill(key, rows):
+            part = np.zeros(1 << part_bits, bool)
+            part[[r[0] for r in rows]] = True
+            yield key[0], np.packbits(part, bitorder="little").tobytes()
+
+        at = F.col("h").bitwiseAND((1 << bits) - 1)
+        rows = hashes.select(F.shiftright(at, part_bits).alias("part"), at.bitwiseAND((1 << part_bits) - 1).cast("int").alias("at")).distinct()
+        out = np.zeros(1 << bits >> 3, np.uint8)
+        width = 1 << part_bits >> 3
+        for r in sorted_groups(rows, ["part"], ["at"], "part long, bytes binary", fill).collect():
+            out[r.part * width : (r.part + 1) * width] = np.frombuffer(r.bytes, np.uint8)
+        return cls(out)
