@@ -62,8 +62,6 @@ def test_flagship_plan_shape(spark):
 
 @pytest.mark.parametrize("name", sorted(catalog_jobs.JOBS))
 def test_no_python_in_plans(spark, name):
-    if name in {"q_csv_roundtrip", "q_jsonl_roundtrip", "q_etl_from_csv", "q_parquet_roundtrip", "q_build_files"}:
-        pytest.skip("writes files")
     plan = catalog_jobs.JOBS[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan and "PythonUDF" not in plan
 

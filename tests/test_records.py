@@ -160,12 +160,12 @@ def test_run_etl_counts_and_rejects(spark, text_file, scratch):
     base = scratch("etl")
     out = run_etl(spark, text_file(a=CATALOG), base + "/t.parquet", rejects_path=base + "/r.parquet")
     assert out == base + "/t.parquet"
-    assert out.counts == {"read": 5, "kept": 2, "rejected": 3, "no_year": 2, "out_of_range": 1, "corrupt": 1, "short": 1, "latin_1": 0, "utf_8": 0}
+    assert out.counts == {"read": 5, "kept": 2, "rejected": 3, "no_year": 1, "bad_year": 1, "out_of_range": 1, "corrupt": 1, "short": 1, "latin_1": 0, "utf_8": 0}
     assert sorted((r.artist, r.year, r.streams) for r in spark.read.parquet(out).collect()) == [("A", 1990, 5), ("D", 1991, 2)]
     left = sorted((r.artist, r.name, r.reject_reason, r.reject_record) for r in spark.read.parquet(base + "/r.parquet").collect())
-    assert left == [("B", "u\nv", "out_of_range", None), ("C", "w", "no_year", None), ("E", "y", "no_year", "\"['E']\",y")]
+    assert left == [("B", "u\nv", "out_of_range", None), ("C", "w", "bad_year", None), ("E", "y", "no_year", "\"['E']\",y")]
     raw = read_delimited(spark, text_file(a=CATALOG), info="told")
-    assert rows_of(audit_etl(raw, "told")) == [("kept", "", 2, 1), ("rejected", "no_year", 2, 0), ("rejected", "out_of_range", 1, 0)]
+    assert rows_of(audit_etl(raw, "told")) == [("kept", "", 2, 1), ("rejected", "bad_year", 1, 0), ("rejected", "no_year", 1, 0), ("rejected", "out_of_range", 1, 0)]
 
 
 @pytest.mark.parametrize(("data", "kept", "streams"), [(b"artist,year,popularity\nA,2100,5\nB,,3\nC,2101,1\n", 2, 6), (b"artist,year,popularity\nA,1990,0\nB,1991,x\n", 2, 2), (b"artist,year,popularity\nA,2100,0\nB,,0\n", 1, 1), (b"artist,year,popularity\n", 0, None)])

@@ -218,10 +218,15 @@ def q_rank_decades(spark, d):
 
 
 def q_rank_top_artists(spark, d):
-    """The order of R2's rows."""
+    """The order of R2's rows: decades, then totals."""
     return global_rank(reports.top_artists_every_decade(_trends(spark, d), n=5), [*decade_order(), *total_order(["artist"])])
 
 
+def q_rank_genre_composition(spark, d):
+    """Generations in order of their labels."""
+    return global_rank(reports.genre_composition(genre_share_by_generation(enriched_tracks(spark, d))), [F.col("generation").asc()])
+
+
 def q_rank_slice_years(spark, d):
     """The years of a slice in order."""
     counts = reports.drilldown(enriched_tracks(spark, d), "Latin", pop_range=(10, 90)).yearly_counts
@@ -642,7 +647,7 @@ u AS (SELECT 'artist' AS role, 'artists' AS "column", 0 AS position, rows, rows
 SELECT *, nulls / rows AS null_share FROM u""",
     "q_etl_audit": RAW + (f", y AS (SELECT {_x2('release_date')} AS year FROM raw)\n"
                           "SELECT CASE WHEN year BETWEEN 1921 AND 2020 THEN 'kept' ELSE 'rejected' END AS outcome, "
-                          "CASE WHEN year IS NULL THEN 'no_year' WHEN year BETWEEN 1921 AND 2020 THEN '' ELSE 'out_of_range' END AS reason, "
+                          "CASE WHEN year IS NULL THEN 'bad_year' WHEN year BETWEEN 1921 AND 2020 THEN '' ELSE 'out_of_range' END AS reason, "
                           "count(*) AS rows, 0::BIGINT AS corrupt FROM y GROUP BY 1, 2"),
     "q_etl_audit_fallback": """WITH y AS (SELECT l_orderkey % 89 = 0 AS none FROM lineitem JOIN part ON l_partkey = p_partkey)
 SELECT CASE WHEN none THEN 'rejected' ELSE 'kept' END AS outcome, CASE WHEN none THEN 'no_year' ELSE '' END AS reason,
@@ -654,10 +659,10 @@ FROM t WHERE year BETWEEN 1921 AND 2020""",
     "q_records_with_breaks": broken_lines_sql(),
     "q_run_etl_counts": RAW + f""", y AS (SELECT {_x2('release_date')} AS year FROM raw),
 c AS (SELECT count(*) AS n, count(year) AS has, count_if(year BETWEEN 1921 AND 2020) AS good FROM y)
-SELECT unnest(['read', 'kept', 'rejected', 'no_year', 'out_of_range', 'corrupt', 'short', 'latin_1', 'utf_8']) AS name,
-  unnest([n, good::BIGINT, n - good::BIGINT, n - has, has - good::BIGINT, 0, 0, 0, 0]) AS rows FROM c""",
+SELECT unnest(['read', 'kept', 'rejected', 'no_year', 'bad_year', 'out_of_range', 'corrupt', 'short', 'latin_1', 'utf_8']) AS name,
+  unnest([n, good::BIGINT, n - good::BIGINT, 0, n - has, has - good::BIGINT, 0, 0, 0, 0]) AS rows FROM c""",
     "q_run_etl_rejects": RAW + f""", y AS (SELECT name, release_date, {_x2('release_date')} AS year, {_x3('popularity')} AS streams FROM raw)
-SELECT *, CASE WHEN year IS NULL THEN 'no_year' ELSE 'out_of_range' END AS reject_reason FROM y
+SELECT *, CASE WHEN year IS NULL THEN 'bad_year' ELSE 'out_of_range' END AS reject_reason FROM y
 WHERE year IS NULL OR year NOT BETWEEN 1921 AND 2020""",
     "q_strict_commas": f"""WITH raw AS ({case_catalog_sql()}), t AS (SELECT *, CAST(year_text AS INTEGER) AS year FROM raw)
 SELECT {_x5('year')} AS generation, trim(artist) AS artist, CAST(sum({_x3('popularity')}) AS BIGINT) AS total_streams
@@ -678,6 +683,7 @@ FROM stats GROUP BY generation""",
         ORDER BY total_streams DESC NULLS LAST, artist ASC) AS rn FROM trends)
 SELECT generation, artist, total_streams, row_number() OVER (ORDER BY TRY_CAST(left(generation, 4) AS INTEGER) NULLS LAST, generation,
   total_streams DESC, artist) AS rank FROM r WHERE rn <= 5""",
+    "q_rank_genre_composition": SHARES_GEN + f"SELECT generation, {_pivot_cols(BATCH_LABELS, 'generation')}, row_number() OVER (ORDER BY generation) AS rank FROM p GROUP BY generation",
     "q_rank_slice_years": _slice_sql("Latin", None, None, 10, 90) + """, n AS (SELECT year, count(*) AS n_tracks
 FROM s3 WHERE year IS NOT NULL GROUP BY year) SELECT *, row_number() OVER (ORDER BY year) AS rank FROM n""",
     "q_gen_artist_tracks": TRENDS + "SELECT * FROM trends",

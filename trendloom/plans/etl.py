@@ -20,14 +20,14 @@ from pyspark.sql import functions as F
 from trendloom.functions.decades import YEAR_MAX, YEAR_MIN, decade_clamped
 from trendloom.functions.numeric import to_double
 from trendloom.functions.text import blank_default, normalize_text
-from trendloom.operators.columns import artist_expr, at_position, name_positions, output_names, track_expr, year_expr
+from trendloom.operators.columns import artist_expr, at_position, name_positions, output_names, track_expr, year_expr, year_position
 from trendloom.operators.filters import any_in_range_agg, filter_years_with_fallback, year_in_range
 
 log = logging.getLogger(__name__)
 
 DEFAULT_PLATFORM = "spotify"  # fixed value
-#: Why a row is left out.
-NO_YEAR, OUT_OF_RANGE = "no_year", "out_of_range"
+#: Why a row is left out: no year given, one that can't be read (D10), one out of range.
+NO_YEAR, BAD_YEAR, OUT_OF_RANGE = "no_year", "bad_year", "out_of_range"
 
 
 @dataclass
@@ -38,6 +38,7 @@ class Resolved:
     names: list[str]
     derived: dict[str, Column]
     popularity: Column | None
+    year_given: Column
 
     def with_derived(self, *more: str) -> DataFrame:
         """Positions and derived columns (as ``_artist``, ``_year``, ...), and ``_popularity`` if asked for."""
@@ -80,7 +81,8 @@ def resolve(raw: DataFrame, platform: str | None = DEFAULT_PLATFORM) -> Resolved
     }
     if platform is not None or "platform" not in names:
         derived["platform"] = F.lit(platform or DEFAULT_PLATFORM)
-    return Resolved(at_position(raw), names, derived, popularity)
+    source = year_position(raw)
+    return Resolved(at_position(raw), names, derived, popularity, F.lit(False) if source is None else at(source).isNotNull())
 
 
 def streams_from(value: Column | None, popularity_total: Column | None = None) -> Column:
@@ -143,10 +145,10 @@ def yearly_totals(raw: DataFrame, key: str, key_default: str, platform: str | No
     return kept.groupBy(blank_default("generation", "unknown").alias("generation"), blank_default(key, key_default).alias(key)).agg(F.sum("streams").alias("total_streams"))
 
 
-def reject_reason(year: Column, lo: int, hi: int, any_in_range: Column) -> Column:
+def reject_reason(year: Column, given: Column, lo: int, hi: int, any_in_range: Column) -> Column:
     """Why a row is left out; null if it is kept (F1, F2)."""
     kept = year_in_range(year, lo, hi) | ((any_in_range == 0) & year.isNotNull())
-    return F.when(year.isNull(), NO_YEAR).when(~kept, OUT_OF_RANGE)
+    return F.when(year.isNull(), F.when(given, BAD_YEAR).otherwise(NO_YEAR)).when(~kept, OUT_OF_RANGE)
 
 
 def audit_etl(raw: DataFrame, info: str | None = None, year_range: tuple[int, int] = (YEAR_MIN, YEAR_MAX)) -> DataFrame:
@@ -157,10 +159,10 @@ def audit_etl(raw: DataFrame, info: str | None = None, year_range: tuple[int, in
     lo, hi = year_range
     r = resolve(raw)
     year = r.derived["year"]
-    place = F.when(year.isNull(), NO_YEAR).when(year_in_range(year, lo, hi), "in_range").otherwise(OUT_OF_RANGE)
+    place = F.when(year.isNull(), F.when(r.year_given, BAD_YEAR).otherwise(NO_YEAR)).when(year_in_range(year, lo, hi), "in_range").otherwise(OUT_OF_RANGE)
     bad = F.lit(0) if info is None else F.coalesce((F.col(f"r{r.names.index(info)}.ragged") == "long").cast("int"), F.lit(0))
     counts = r.rows.select(place.alias("place"), bad.alias("bad")).groupBy("place").agg(F.count("*").alias("rows"), F.sum("bad").alias("corrupt"))
-    # three rows at most from here on
+    # four rows at most from here on
     in_range = F.max((F.col("place") == "in_range").cast("int")).over(Window.partitionBy(F.lit(0)))
     counts = counts.withColumn("kept", (F.col("place") == "in_range") | ((F.col("place") == OUT_OF_RANGE) & (in_range == 0)))
     reason = F.when(F.col("kept"), "").otherwise(F.col("place"))
@@ -217,13 +219,13 @@ def run_etl(spark, in_path: str, out_path: str, platform: str | None = DEFAULT_P
         r.names = r.names[:told]
         if zero:
             r.derived["streams"] = F.lit(1).cast("bigint")
-        df = r.with_derived("popularity").withColumn("_reason", reject_reason(F.col("_year"), lo, hi, F.lit(0 if fallback else 1)))
+        df = r.with_derived("popularity").withColumn("_reason", reject_reason(F.col("_year"), r.year_given, lo, hi, F.lit(0 if fallback else 1)))
         many = lambda c: F.count_if(F.coalesce(c, F.lit(False)))
         info = F.col(f"r{told}")
         total = F.lit(None).cast("double") if r.popularity is None else F.sum("_popularity")
         df = df.observe(
             met, F.count("*").alias("read"), many(F.col("_reason").isNull()).alias("kept"),
-            *[many(F.col("_reason") == x).alias(x) for x in (NO_YEAR, OUT_OF_RANGE)],
+            *[many(F.col("_reason") == x).alias(x) for x in (NO_YEAR, BAD_YEAR, OUT_OF_RANGE)],
             many(info["ragged"] == "long").alias("corrupt"), many(info["ragged"] == "short").alias("short"),
             many(info["latin_1"]).alias("latin_1"), many(info["wide"]).alias("utf_8"),
             any_in_range_agg("_year", lo, hi).alias("any_in_range"), total.alias("popularity_total"))
@@ -239,12 +241,12 @@ def run_etl(spark, in_path: str, out_path: str, platform: str | None = DEFAULT_P
         if multi_line is None and spans is False and seen.get("open"):
             spans = None
         else:
-            now = (seen["read"] > 0 and seen["popularity_total"] == 0, seen["any_in_range"] == 0 and seen["read"] > seen[NO_YEAR])
+            now = (seen["read"] > 0 and seen["popularity_total"] == 0, seen["any_in_range"] == 0 and seen["read"] > seen[NO_YEAR] + seen[BAD_YEAR])
             if now == (zero, fallback):
                 break
             zero, fallback = now
         publish.remove(spark, staged)
-    counts = {c: seen[c] for c in ("read", "kept", NO_YEAR, OUT_OF_RANGE, "corrupt", "short", "latin_1", "utf_8")}
+    counts = {c: seen[c] for c in ("read", "kept", NO_YEAR, BAD_YEAR, OUT_OF_RANGE, "corrupt", "short", "latin_1", "utf_8")}
     counts["rejected"] = counts["read"] - counts["kept"]
     if counts["latin_1"] and counts["utf_8"]:
         log.warning("%s mixes encodings: %d records of UTF-8, %d of Latin-1", in_path, counts["utf_8"], counts["latin_1"])
