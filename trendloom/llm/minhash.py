@@ -16,8 +16,9 @@ are wanted, and the rarity of shingles by hash bucket.
 
 Defined results: a text that is null or has no words has an empty set, is
 linked with nothing and kept; a row without id takes no part and is kept, its
-component null; rows that repeat an id and text are one document; an empty
-table gives no rows. Very long texts are read whole.
+component null; rows that repeat an id and text are one document, texts that
+share an id only are documents of their own (linked by their texts; components
+are still named by ids); an empty table gives no rows. Very long texts are read whole.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trendloom.llm.common import MULTIPLIER, Tokenizer, byte_table, count_hashes, distinct, map_batches, mix64, rarity_table, shingle_hashes, stage
+from trendloom.llm.common import MULTIPLIER, Tokenizer, byte_table, count_hashes, distinct, keyed, map_batches, mix64, rarity_table, shingle_hashes, slim, stage
 from trendloom.llm.graph import components
 
 #: Components of a band, and the chance that a pair at the threshold shares no band.
@@ -180,7 +181,19 @@ def apart(open_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, k: int = 3, percent: int = 85, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id, kept."""
-    docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    flat, parted = keyed(docs)
+    found = _linked(slim(flat, docs), k, percent)
+    if not parted:
+        return found
+    names = flat.select(F.col("key").alias("doc_id"), F.col("c0").cast("long").alias("name")).where("name IS NOT NULL").distinct()
+    found = stage(found.join(names, "doc_id", "left"), "mh-named-rows")
+    least = found.groupBy("component_id").agg(F.min("name").alias("least"))
+    out = found.join(least, "component_id", "left").select(F.col("name").alias("doc_id"), "n_shingles", F.col("least").alias("component_id"))
+    return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def _linked(docs: DataFrame, k: int, percent: int) -> DataFrame:
     rows = stage(map_batches(docs, "doc_id long, digest binary, n_shingles long, bands array<long>", _signatures(k, bands_for(percent / 100))), "mh-rows")
     full = rows.where("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = stage(full.groupBy("digest").agg(F.min("doc_id").alias("rep")), "mh-classes")
