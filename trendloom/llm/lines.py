@@ -6,18 +6,21 @@ of two of their count, then their hash); two lines with Jaccard >= 4/5 share a
 word among the first n - ceil(4n/5) + 1 of each. Only these prefixes are joined,
 by word, under filters that lose nothing: length, position (words that can still
 be shared) and a 64-bit signature (bits that differ bound the words that
-differ). Words that no other line has can't be shared and are left out. The
-pairs that pass are verified on the full sets, and a line goes if any earlier
-one (by doc_id, then line number) is similar to it.
+differ). Words that no other line has can't be shared and are left out. A line
+goes if any earlier one (by doc_id, then line number) is similar to it, so one is
+enough: pairs are verified on the full sets in two rounds, for each line first
+the one with the likest signature, then, of lines not told yet, all others that
+signatures of 256 bits leave possible.
 
-Two tables of fixed size are sent to all tasks: the rarity of words by hash
-bucket (buckets that words share make the order less sharp, nothing else), and
-the bits of the lines whose full sets are wanted (bits that lines share cost
-some sets that nobody asks for).
+Two tables are sent to all tasks: the rarity of words by hash bucket (of fixed
+size; buckets that words share make the order less sharp, nothing else), and
+the bits of the lines whose full sets are wanted (sized from their number, up to
+a bound; bits that lines share cost some sets that nobody asks for).
 
 Defined results: blank lines are never similar to any and stay; a null text
-stays null; rows without id are left as they are; rows that repeat an id are one
-document (a line isn't compared with itself); an empty table gives no rows.
+stays null; rows without id are left as they are; rows that repeat an id and text
+are one document (a line isn't compared with itself), texts that share an id only
+are documents of their own, which come after all others; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -27,10 +30,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trendloom.llm.common import MULTIPLIER, Tokenizer, byte_table, count_hashes, discard, distinct, map_batches, mix64, rarity_table, stage
+from trendloom.llm.common import MULTIPLIER, BitTable, Tokenizer, count_hashes, discard, distinct, keyed, map_batches, mix64, rarity_table, slim, stage
 
-#: Buckets of the rarity table and of the table of wanted lines, as powers of two.
-RARITY_BITS, WANTED_BITS = 23, 23
+#: Buckets of the rarity table, as a power of two.
+RARITY_BITS = 23
+#: Longs of a wide signature.
+WIDE = 4
+#: A prefix entry holds a set's size and a word's place in it in one number, up to these bounds (filters stay lossless beyond).
+SIZE_MOST, AT_BITS = (1 << 19) - 1, 12
 #: Sort key: 12 bits line, 6 bits rarity, 46 bits of the word's hash; so 4096 lines are sorted at once.
 LINES, TOKEN_BITS = 4096, 46
 
@@ -99,42 +106,81 @@ def _prefixes(levels: np.ndarray):
     return make
 
 
-def place_of(doc_id: np.ndarray, line: np.ndarray) -> np.ndarray:
-    """The bit of a line in the table of wanted lines."""
-    return (mix64(doc_id.astype(np.int64).view(np.uint64) * MULTIPLIER + line.astype(np.uint64)) & np.uint64((1 << WANTED_BITS) - 1)).astype(np.int64)
+def line_hash(doc_id: np.ndarray, line: np.ndarray) -> np.ndarray:
+    return mix64(mix64(doc_id.astype(np.int64).view(np.uint64)) * MULTIPLIER + line.astype(np.int64).view(np.uint64))
 
 
-def _wanted():
-    return lambda ids, line: {"bucket": place_of(ids.to_numpy(), line.to_numpy()).astype(np.int32)}
+def _hashed():
+    return lambda ids, line: {"h": line_hash(ids.to_numpy(), line.to_numpy()).view(np.int64)}
 
 
-def _full_sets(wanted: np.ndarray):
-    """The full sets of the lines whose bit is set."""
-
-    packed = np.packbits(wanted)  # what travels to the tasks
+def _full_sets(wanted: BitTable):
+    """The full sets of the lines that the table holds."""
 
     def make():
-        tokens, wanted = Tokenizer(), np.unpackbits(packed)
+        tokens = Tokenizer()
 
         def one(ids, texts):
             doc_id, parts = ids.to_numpy(zero_copy_only=False), []
             for block in tokens.blocks(texts):
-                for doc, number, key, owner, n, _ in line_sets(block, None):
+                for doc, number, key, owner, n, start in line_sets(block, None):
                     ids_ = doc_id[doc + block.first]
-                    hit = wanted[place_of(ids_, number)] > 0
-                    parts.append((ids_[hit], number[hit], n[hit], (key & np.uint64((1 << TOKEN_BITS) - 1))[hit[owner]].view(np.int64)))
+                    hit = wanted.holds(line_hash(ids_, number))
+                    token = key & np.uint64((1 << TOKEN_BITS) - 1)
+                    place = (token >> np.uint64(6)) & np.uint64(255)  # other bits than those of the short signature
+                    bit = np.uint64(1) << (place & np.uint64(63))
+                    wide = [np.bitwise_or.reduceat(np.where(place >> np.uint64(6) == np.uint64(j), bit, np.uint64(0)), start)[hit].view(np.int64) for j in range(WIDE)]
+                    parts.append((ids_[hit], number[hit], n[hit], token[hit[owner]].view(np.int64), *wide))
             col = lambda j, t=np.int64: np.concatenate([p[j] for p in parts]).astype(t) if parts else np.zeros(0, t)
             ends = np.concatenate([[0], np.cumsum(col(2))]).astype(np.int32)
-            return {"doc_id": col(0), "line": col(1, np.int32), "w": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(col(3), pa.int64()))}
+            return {f"s{j}": col(4 + j) for j in range(WIDE)} | {"doc_id": col(0), "line": col(1, np.int32), "n": col(2, np.int32), "w": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(col(3), pa.int64()))}
 
         return one
 
     return make
 
 
+def candidate_pairs(told: DataFrame) -> DataFrame:
+    """(a, i, b, j, bits): lines that share a prefix word and pass the filters, the earlier first, with the bits that differ."""
+    meta = F.shiftleft(F.least("n", F.lit(SIZE_MOST)), AT_BITS)
+    entries = told.where("size(words) > 0").select("doc_id", "line", "sig", "skip", meta.alias("n"), F.posexplode("words").alias("at", "word"))
+    entries = entries.select("word", "doc_id", "line", "sig", F.col("n").bitwiseOR(F.least(F.col("skip") + F.col("at"), F.lit((1 << AT_BITS) - 1))).alias("meta"))
+    x, y = entries.alias("x"), entries.alias("y")
+    n = {s: F.shiftright(f"{s}.meta", AT_BITS) for s in "xy"}
+    left = {s: n[s] - F.col(f"{s}.meta").bitwiseAND((1 << AT_BITS) - 1) for s in "xy"}
+    both = n["x"] + n["y"]
+    bits = F.bit_count(F.col("x.sig").bitwiseXOR(F.col("y.sig")))
+    near = (
+        (F.col("x.word") == F.col("y.word"))
+        & (4 * F.greatest(n["x"], n["y"]) <= 5 * F.least(n["x"], n["y"]))
+        & (9 * bits <= both)
+        & (9 * F.least(left["x"], left["y"]) >= 4 * both)
+        & ((F.col("x.doc_id") < F.col("y.doc_id")) | ((F.col("x.doc_id") == F.col("y.doc_id")) & (F.col("x.line") < F.col("y.line"))))
+    )
+    return x.join(y, near).select(F.col("x.doc_id").alias("a"), F.col("x.line").alias("i"), F.col("y.doc_id").alias("b"), F.col("y.line").alias("j"), bits.alias("bits")).distinct()
+
+
+def possible(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, i, b, j) whose wide signatures don't rule out that their sets are similar."""
+    wide = [f"s{j}" for j in range(WIDE)]
+    left = sets.select(F.col("doc_id").alias("a"), F.col("line").alias("i"), F.col("n").alias("m"), *[F.col(c).alias(f"l{c}") for c in wide])
+    right = sets.select(F.col("doc_id").alias("b"), F.col("line").alias("j"), "n", *wide)
+    bits = sum((F.bit_count(F.col(c).bitwiseXOR(F.col(f"l{c}"))) for c in wide[1:]), F.bit_count(F.col("s0").bitwiseXOR(F.col("ls0"))))
+    return pairs.join(right, ["b", "j"]).join(left, ["a", "i"]).where(9 * bits <= F.col("m") + F.col("n")).select("a", "i", "b", "j")
+
+
+def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(b, j) of the pairs (a, i, b, j) whose full sets are similar."""
+    sets = sets.select("doc_id", "line", "w")
+    left, right = sets.toDF("a", "i", "w"), sets.toDF("b", "j", "v")
+    shared = F.size(F.array_intersect("w", "v"))
+    similar = pairs.join(right, ["b", "j"]).join(left, ["a", "i"]).where(5 * shared >= 4 * (F.size("w") + F.size("v") - shared))
+    return similar.select("b", "j").distinct()
+
+
 def later_matches(docs: DataFrame) -> DataFrame:
     """(doc_id, line) of every line that is similar to an earlier one; ``docs`` has doc_id and text."""
-    docs = docs.where("doc_id IS NOT NULL AND text IS NOT NULL")
+    docs = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", "text")
     found = stage(map_batches(docs, "doc_id long, line int, d1 long, d2 long, n int, sig long, skip int, words array<long>", _prefixes(rarity(docs))), "ln-lines")
     classes = stage(found.groupBy("d1", "d2").agg(F.min(F.struct("doc_id", "line")).alias("first")), "ln-classes")
     copy = F.struct("doc_id", "line") > F.col("first")
@@ -142,30 +188,23 @@ def later_matches(docs: DataFrame) -> DataFrame:
     told = stage(lines, "ln-told")  # sets of three words and fewer are similar to equal ones only
     discard(found)
     discard(classes)
-    copies = stage(told.where("copy").select("doc_id", "line"), "ln-copies")
-
-    entries = told.where("size(words) > 0").select("doc_id", "line", "n", "sig", "skip", F.posexplode("words").alias("at", "word"))
-    entries = entries.select("word", "doc_id", "line", "n", "sig", (F.col("skip") + F.col("at")).alias("at"))
-    x, y = entries.alias("x"), entries.alias("y")
-    both = F.col("x.n") + F.col("y.n")
-    near = (
-        (F.col("x.word") == F.col("y.word"))
-        & (4 * F.greatest("x.n", "y.n") <= 5 * F.least("x.n", "y.n"))
-        & (9 * F.bit_count(F.col("x.sig").bitwiseXOR(F.col("y.sig"))) <= both)
-        & (9 * F.least(F.col("x.n") - F.col("x.at"), F.col("y.n") - F.col("y.at")) >= 4 * both)
-        & ((F.col("x.doc_id") < F.col("y.doc_id")) | ((F.col("x.doc_id") == F.col("y.doc_id")) & (F.col("x.line") < F.col("y.line"))))
-    )
-    pairs = x.join(y, near).select(F.col("x.doc_id").alias("a"), F.col("x.line").alias("i"), F.col("y.doc_id").alias("b"), F.col("y.line").alias("j")).distinct()
-    pairs = stage(pairs, "ln-pairs")
+    # copies of a class's first line go with it or without it: they are copies anyway
+    copies = stage(told.where("copy").select(F.col("doc_id").alias("b"), F.col("line").alias("j")), "ln-copies")
+    pairs = stage(candidate_pairs(told), "ln-pairs")
     discard(told)
     ends = pairs.select(F.explode(F.array(F.struct(F.col("a").alias("doc_id"), F.col("i").alias("line")), F.struct(F.col("b").alias("doc_id"), F.col("j").alias("line")))).alias("w")).select("w.*")
-    wanted = byte_table(map_batches(ends, "bucket int", _wanted).distinct().withColumn("on", F.lit(1)), "on", WANTED_BITS)
-    sets = stage(map_batches(docs.select("doc_id", "text"), "doc_id long, line int, w array<long>", _full_sets(wanted)), "ln-sets")
-    left, right = sets.toDF("a", "i", "w"), sets.toDF("b", "j", "v")
-    shared = F.size(F.array_intersect("w", "v"))
-    similar = pairs.join(left, ["a", "i"]).join(right, ["b", "j"]).where(5 * shared >= 4 * (F.size("w") + F.size("v") - shared))
-    # copies of a class's first line go with it or without it: they are copies anyway
-    return copies.unionByName(similar.select(F.col("b").alias("doc_id"), F.col("j").alias("line"))).distinct()
+    hashes = stage(map_batches(ends, "h long", _hashed).distinct(), "ln-ends")
+    sets = stage(map_batches(docs, "doc_id long, line int, n int, s0 long, s1 long, s2 long, s3 long, w array<long>", _full_sets(BitTable.of(hashes, hashes.count()))), "ln-sets")
+    discard(hashes)
+    likest = pairs.groupBy("b", "j").agg(F.min(F.struct("bits", "a", "i")).alias("m")).select("b", "j", F.col("m.a").alias("a"), F.col("m.i").alias("i"))
+    first = stage(verified(likest, sets), "ln-first")
+    rest = pairs.select("a", "i", "b", "j").join(first, ["b", "j"], "left_anti").join(likest, ["a", "i", "b", "j"], "left_anti")
+    left = stage(possible(rest, sets), "ln-left")
+    discard(pairs)
+    more = stage(verified(left, sets), "ln-more")
+    discard(sets)
+    discard(left)
+    return copies.unionByName(first).unionByName(more).toDF("doc_id", "line").distinct()
 
 
 def _without(texts: pa.Array, gone: pa.Array) -> tuple[list, list, list]:
@@ -181,15 +220,16 @@ def _without(texts: pa.Array, gone: pa.Array) -> tuple[list, list, list]:
     return out, total, cut
 
 
-def gone_lines(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """(doc_id, gone): the numbers of the lines that go, for documents that lose any."""
-    found = later_matches(docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")))
-    return stage(found, "ln-gone").groupBy("doc_id").agg(F.collect_list("line").alias("gone"))  # at most a document's lines
+def _with_gone(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """All columns of ``docs`` by position, and last the numbers of the lines that go."""
+    flat, _ = keyed(docs, doc_id, text)
+    found = stage(later_matches(slim(flat, docs, text)), "ln-gone")
+    gone = found.groupBy("doc_id").agg(F.collect_list("line").alias("gone"))  # at most a document's lines
+    return flat.join(gone.withColumnRenamed("doc_id", "key"), "key", "left").drop("key")
 
 
 def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of ``docs``: doc_id, n_lines, n_removed, text without the removed lines."""
-    gone = gone_lines(docs, doc_id, text)
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
 
     def make():
@@ -199,20 +239,18 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
 
         return one
 
-    return map_batches(docs.join(gone, "doc_id", "left").select("doc_id", "text", "gone"), "doc_id long, n_lines int, n_removed int, text string", make)
+    return map_batches(_with_gone(docs, "doc_id", "text"), "doc_id long, n_lines int, n_removed int, text string", make)
 
 
 def drop_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs``, all columns, without the removed lines; a document that loses all its words goes."""
-    gone = gone_lines(docs, doc_id, text).toDF("_doc", "_gone")
-    schema, joined = docs.schema, docs.join(gone, F.col(doc_id) == F.col("_doc"), "left").drop("_doc")
+    schema, at = docs.schema, docs.columns.index(text)
 
     def run(batches):
         for b in batches:
-            at = b.schema.get_field_index(text)
             out, _, cut = _without(b.column(at), b.column(b.num_columns - 1))
             cols = [pa.array(out, b.schema.field(i).type) if i == at else b.column(i) for i in range(b.num_columns - 1)]
-            left = pa.RecordBatch.from_arrays(cols, schema=pa.schema([b.schema.field(i) for i in range(b.num_columns - 1)]))
+            left = pa.RecordBatch.from_arrays(cols, schema=pa.schema([b.schema.field(i).with_name(schema[i].name) for i in range(b.num_columns - 1)]))
             yield left.filter(pa.array([not c or bool(t.strip(" \t\n\x0b\x0c\r")) for c, t in zip(cut, out, strict=True)], pa.bool_()))
 
-    return joined.mapInArrow(run, schema)
+    return _with_gone(docs, doc_id, text).mapInArrow(run, schema)
