@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -139,3 +140,31 @@ def test_clustered_vectors_are_compared_with_few(spark):
         order = [j for j in np.lexsort((np.arange(9000), -s)) if j != i][:5]
         want |= {(i, r + 1, int(j), int(s[j])) for r, j in enumerate(order)}
     assert {tuple(r) for r in knn.top_k(df).select("query_id", "rank", "vec_id", "score").collect()} == want
+
+
+def test_the_latent_space_is_fitted_to_all_passages(spark):
+    """Each text's own word has a place in the space, however many passages there are."""
+    rows = [(i, f"own{i} " + " ".join(f"w{(i * 7 + j) % 3000}" for j in range(260))) for i in range(4000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    df, n = decontaminate.document_frequency(docs)
+    assert n == 4000
+    space = decontaminate.latent_space(docs, docs.limit(0), np.log((n + 1) / (df + 1.0)) + 0.01)
+    own = decontaminate.buckets_of([f"own{i}".encode() for i in range(4000)])
+    assert (np.abs(space[own]).max(1) > 0).all()
+
+
+def test_sums_by_word_are_those_of_a_plain_product(spark):
+    rng = np.random.default_rng(3)
+    texts = [rng.integers(0, 50, n).astype(np.uint16) for n in (1, 23, 24, 25, 400, 7)]
+    weight = rng.random(decontaminate.BUCKETS) + 0.1
+    left = rng.standard_normal((decontaminate.BUCKETS, decontaminate.SKETCH)).astype(np.float32)
+    batch = pa.RecordBatch.from_pydict({"words": pa.array([t.tobytes() for t in texts], pa.binary())})
+    got = {r["bucket"]: np.frombuffer(r["v"], np.float32) for b in decontaminate._sums(lambda: left, weight)([batch]) for r in b.to_pylist()}
+    want = np.zeros_like(left, np.float64)
+    for t in texts:
+        for i in range(0, len(t), decontaminate.SPAN):
+            w = np.unique(t[i : i + decontaminate.SPAN])
+            a = weight[w] / np.sqrt((weight[w] ** 2).sum())
+            want[w] += a[:, None] * (a @ left[w])
+    assert set(got) == set(np.flatnonzero(want.any(1)).tolist())
+    assert all(np.allclose(v, want[b], atol=1e-3) for b, v in got.items())

@@ -2,9 +2,9 @@
 
 Words are hashed to a fixed number of buckets, weighed by their inverse document
 frequency over all documents. A randomised SVD of TF-IDF passages gives the
-latent space: a bounded sample of passages is drawn by document hash, tasks
-multiply their part with a seeded Gaussian and with its transpose, and only the
-sums (buckets by columns) meet. Every passage of every document (``SPAN`` words,
+latent space: it is fitted to all passages of all documents and items (``SPAN``
+words each, without overlap); tasks multiply their part with a seeded Gaussian and
+with its transpose, and only the sums (buckets by columns) meet. Every passage of every document (``SPAN`` words,
 starting every ``STEP`` words) is then projected and compared with the passages
 of the benchmark's items (starting at every word); pairs whose cosine reaches
 ``NEAR`` are candidates. A candidate is checked on the words around it: the
@@ -33,11 +33,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trendloom.llm.common import Tokenizer, distinct, hash_words, map_batches, sorted_groups, stage, words_of
-from trendloom.llm.passages import lcs
+from trendloom.llm.common import Tokenizer, discard, distinct, hash_words, map_batches, sorted_groups, stage, words_of
+from trendloom.llm.passages import aligned, lcs, masks  # noqa: F401  (lcs is what ``aligned`` gives, for callers)
 
-#: Buckets of words, columns of the sketch, dimensions kept, passages of the sample.
-BUCKETS, SKETCH, DIMS, SAMPLE = 1 << 15, 112, 96, 1 << 15
+#: Buckets of words, columns of the sketch, dimensions kept.
+BUCKETS, SKETCH, DIMS = 1 << 15, 112, 96
+#: Passages whose products are summed by word at once, rows of vectors gathered at once (to stay within a core's cache), and vectors added at a time.
+GROUP, CHUNK, FOLD = 1 << 14, 1 << 13, 8
 #: Words of a passage and between their starts in a document (SPAN is a multiple; in an item they start at every word), items of a pass.
 SPAN, STEP, ITEMS = 24, 8, 1 << 15
 #: Least cosine of a candidate (for items shorter than a passage, less in proportion); shares of an item's words that count as copied, or as paraphrased.
@@ -57,78 +59,128 @@ def texts_of(tokens: Tokenizer, texts: pa.Array):
             yield i, b[lo:hi]
 
 
-def document_frequency(docs: DataFrame) -> tuple[np.ndarray, int, int]:
-    """Documents in which a bucket's words stand, documents with words, and words."""
+def document_frequency(docs: DataFrame) -> tuple[np.ndarray, int]:
+    """Documents in which a bucket's words stand, and documents with words."""
 
     def run(batches):
-        tokens, held, n, words = Tokenizer(), np.zeros(BUCKETS, np.int64), 0, 0
+        tokens, held, n = Tokenizer(), np.zeros(BUCKETS, np.int64), 0
         for batch in batches:
             for _, b in texts_of(tokens, batch.column(0)):
                 if len(b):
                     mark = np.zeros(BUCKETS, bool)
                     mark[b] = True
                     held += mark
-                    n, words = n + 1, words + len(b)
+                    n += 1
         some = np.flatnonzero(held)
-        yield pa.RecordBatch.from_pydict({"bucket": pa.array([*some, -1, -2], pa.int32()), "n": pa.array([*held[some], n, words], pa.int64())})
+        yield pa.RecordBatch.from_pydict({"bucket": pa.array([*some, -1], pa.int32()), "n": pa.array([*held[some], n], pa.int64())})
 
     found = docs.select("text").mapInArrow(run, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
-    out = np.zeros(BUCKETS + 2, np.int64)
+    out = np.zeros(BUCKETS + 1, np.int64)
     out[found["bucket"].to_numpy()] = found["n"].to_numpy()
-    return out[:BUCKETS], int(out[-1]), int(out[-2])
+    return out[:BUCKETS], int(out[-1])
 
 
-def _passages():
+def _coded():
     tokens = Tokenizer()
-    return lambda texts: {"words": [b[i : i + SPAN] for _, b in texts_of(tokens, texts) for i in range(0, len(b), SPAN)]}
+    return lambda texts: {"words": [b.astype(np.uint16).tobytes() for _, b in texts_of(tokens, texts) if len(b)]}
 
 
 def _gaussian() -> np.ndarray:
-    return np.random.default_rng(SEED).standard_normal((BUCKETS, SKETCH))
+    return np.random.default_rng(SEED).standard_normal((BUCKETS, SKETCH)).astype(np.float32)
+
+
+def _parts(texts: pa.Array):
+    """The passages of the texts, GROUP or fewer at a time: rows of SPAN words in order, and 1 for those that stand there for the first time, else 0."""
+    some, n = [], 0
+
+    def rows():
+        counts = np.array([-(-len(t) // SPAN) for t in some])
+        filled = np.full(counts.sum() * SPAN, BUCKETS, np.int64)
+        for t, at in zip(some, ((np.cumsum(counts) - counts) * SPAN).tolist(), strict=True):
+            filled[at : at + len(t)] = t
+        w = np.sort(filled.reshape(-1, SPAN), axis=1)
+        use = w < BUCKETS
+        use[:, 1:] &= w[:, 1:] != w[:, :-1]
+        return np.where(use, w, 0), use.astype(np.float32)
+
+    for t in texts:
+        words = np.frombuffer(t.as_buffer(), np.uint16)
+        for i in range(0, len(words), GROUP * SPAN):
+            some.append(words[i : i + GROUP * SPAN])
+            n += -(-len(some[-1]) // SPAN)
+            if n >= GROUP:
+                yield rows()
+                some, n = [], 0
+    if some:
+        yield rows()
+
+
+def _products(a: np.ndarray, left: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Of each row of ``at``, the sum of these rows of ``left`` by the factors ``a``."""
+    out = np.empty((len(at), left.shape[1]), np.float32)
+    step = max(1, CHUNK // at.shape[1])
+    for i in range(0, len(at), step):
+        out[i : i + step] = np.matmul(a[i : i + step, None, :], left[at[i : i + step]])[:, 0]
+    return out
+
+
+def _by_word(w: np.ndarray, a: np.ndarray, y: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each word of ``w`` (sorted) once, and the sum of its rows of ``y`` by the factors ``a``, FOLD at a time."""
+    while True:
+        first = np.flatnonzero(np.concatenate([[True], w[1:] != w[:-1]]))
+        counts = np.diff(np.append(first, len(w)))
+        pieces = -(-counts // FOLD)
+        at = np.arange(len(w)) - np.repeat(first, counts) + np.repeat((np.cumsum(pieces) - pieces) * FOLD, counts)
+        rows, factors = np.zeros(pieces.sum() * FOLD, np.int64), np.zeros(pieces.sum() * FOLD, np.float32)
+        rows[at], factors[at] = row, a
+        y = _products(factors.reshape(-1, FOLD), y, rows.reshape(-1, FOLD))
+        w = np.repeat(w[first], pieces)
+        if len(w) == len(first):
+            return w, y
+        row, a = np.arange(len(w)), np.ones(len(w), np.float32)
 
 
 def _sums(left_of, weight: np.ndarray):
     """Tasks' parts of A^T (A L): rows of (bucket, values)."""
 
     def run(batches):
-        left, held = left_of(), np.zeros((BUCKETS, SKETCH))
+        left, held, weigh = left_of(), np.zeros((BUCKETS, SKETCH)), weight.astype(np.float32)
         for batch in batches:
-            for at in range(0, batch.num_rows, 2048):
-                col = batch.column(0).slice(at, 2048)
-                w, n = col.flatten().to_numpy().astype(np.int64), np.diff(col.offsets.to_numpy())
-                key = distinct(np.repeat(np.arange(len(n)), n) * BUCKETS + w)  # each word of a passage once
-                row, w = key // BUCKETS, key % BUCKETS
-                first = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
-                a = weight[w] / np.sqrt(np.add.reduceat(weight[w] ** 2, first))[row]
-                y = np.add.reduceat(a[:, None] * left[w], first, axis=0)
-                order = np.argsort(w, kind="stable")
-                which, at_word = np.unique(w[order], return_index=True)
-                held[which] += np.add.reduceat((a[:, None] * y[row])[order], at_word, axis=0)
+            for w, use in _parts(batch.column(0)):
+                a = weigh[w] * use
+                a /= np.sqrt((a * a).sum(1, keepdims=True))
+                y = _products(a, left, w)
+                some = np.flatnonzero(use.ravel())
+                flat = w.ravel()[some]
+                order = np.argsort(flat.astype(np.uint16), kind="stable")
+                some = some[order]
+                words, sums = _by_word(flat[order], a.ravel()[some], y, some // SPAN)
+                held[words] += sums
         some = np.flatnonzero(held.any(1))
         for at in range(0, len(some), 4096):
             part = some[at : at + 4096]
-            yield pa.RecordBatch.from_pydict({"bucket": pa.array(part, pa.int32()), "v": pa.array([held[i].tobytes() for i in part], pa.binary())})
+            yield pa.RecordBatch.from_pydict({"bucket": pa.array(part, pa.int32()), "v": pa.array([held[i].astype(np.float32).tobytes() for i in part], pa.binary())})
 
     return run
 
 
-def latent_space(docs: DataFrame, items: DataFrame, weight: np.ndarray, total: int, sample: int = SAMPLE) -> np.ndarray:
-    """Buckets by DIMS: the right singular vectors of the sampled passages over their singular values, weighed."""
-    share = min(1.0, sample * SPAN / max(total, 1))
-    some = docs.where(F.pmod(F.xxhash64("doc_id", F.lit("svd")), F.lit(1 << 20)) < int(share * (1 << 20))).select("text")
-    rows = stage(map_batches(some.unionByName(items.select("text")), "words array<int>", _passages), "dc-sample").where("size(words) > 0")
+def latent_space(docs: DataFrame, items: DataFrame, weight: np.ndarray) -> np.ndarray:
+    """Buckets by DIMS: the right singular vectors of all passages over their singular values, weighed."""
+    texts = docs.select("text").unionByName(items.select("text"))
+    rows = stage(map_batches(texts, "words binary", _coded), "dc-words")
 
     def multiply(left_of) -> np.ndarray:
         parts = rows.mapInArrow(_sums(left_of, weight), "bucket int, v binary")
-        add = lambda key, vs: [(key[0], np.sum([np.frombuffer(v[0]) for v in vs], axis=0).tobytes())]
+        add = lambda key, vs: [(key[0], np.sum([np.frombuffer(v[0], np.float32) for v in vs], axis=0, dtype=np.float64).tobytes())]
         out = np.zeros((BUCKETS, SKETCH))
-        for r in sorted_groups(parts, ["bucket"], ["v"], "bucket int, v binary", add).toLocalIterator():
+        for r in stage(sorted_groups(parts, ["bucket"], [], "bucket int, v binary", add), "dc-sums").toLocalIterator():
             out[r.bucket] = np.frombuffer(r.v)
         return out
 
     q, _ = np.linalg.qr(multiply(_gaussian))
     q32 = q.astype(np.float32)
     small = multiply(lambda: q32)  # A^T A Q
+    discard(rows)
     values, vectors = np.linalg.eigh(q.T @ small)
     keep = np.argsort(-values)[:DIMS]
     size = np.sqrt(np.maximum(values[keep], 1e-9 * max(values.max(), 1e-9)))  # dimensions count alike, else the commonest words decide all cosines
@@ -166,8 +218,8 @@ def bare(words: list[bytes]) -> list[bytes]:
 
 
 def holds(words: list[bytes], part: list[bytes]) -> bool:
-    n = len(part)
-    return any(words[i : i + n] == part for i in range(len(words) - n + 1))
+    """Whether ``part`` stands in ``words`` in a row; words hold no line feed."""
+    return not part or (bool(words) and b"\n%b\n" % b"\n".join(part) in b"\n%b\n" % b"\n".join(words))
 
 
 class Index:
@@ -198,6 +250,12 @@ class Index:
         out[some[hit]] = at[hit]
         return out
 
+    def before(self, i: int, ids: np.ndarray) -> np.ndarray:
+        """How many of the words before each place are among those of item ``i``."""
+        mine = np.zeros(len(self.known) + 1, bool)
+        mine[self.sets[i]] = True
+        return np.concatenate([[0], np.cumsum(mine[ids])])
+
     def possible(self, ids: np.ndarray) -> list[int]:
         """The items that a text of these words may hold."""
         here = distinct(ids[ids >= 0])
@@ -206,9 +264,7 @@ class Index:
         held = np.bincount(self.holders[at], minlength=len(self.need))
         out = []
         for i in np.flatnonzero(held >= self.need):
-            mine = np.zeros(len(self.known) + 1, bool)
-            mine[self.sets[i]] = True
-            sums = np.concatenate([[0], np.cumsum(mine[ids])])
+            sums = self.before(i, ids)
             reach = min(self.reach[i], len(ids))
             if (sums[reach:] - sums[: len(sums) - reach]).max() >= self.need[i]:
                 out.append(int(i))
@@ -237,46 +293,57 @@ def _search(space: np.ndarray, items: list[tuple[int, str]]):
         known = [(i, bare(words_of(t)), bare(answer_of(t)), t) for i, t in items]
         index, targets = Index([k[1] for k in known]), {}
 
-        def of(i: int) -> tuple[np.ndarray, set]:
-            """The passages of an item, and its words; those asked for last are held."""
+        def of(i: int) -> tuple[np.ndarray, dict]:
+            """The passages of an item, and its words' places; those asked for last are held."""
             if i not in targets:
                 if len(targets) >= 1024:
                     del targets[next(iter(targets))]
-                targets[i] = (passages(space, buckets_of(words_of(known[i][3])), 1).T.copy(), set(known[i][1]))
+                targets[i] = (passages(space, buckets_of(words_of(known[i][3])), 1).T.copy(), masks(known[i][1]))
             return targets[i]
 
-        def match(i: int, v: np.ndarray, clean: list[bytes]) -> tuple[int, bool, int]:
+        def match(i: int, v: np.ndarray, clean: list[bytes], numbers: np.ndarray) -> tuple[int, bool, int]:
+            """``numbers``: of each word of ``clean`` among the items' words."""
             _, item, answer, _ = known[i]
-            target, words = of(i)
+            target, places = of(i)
             best = (0, False, 0)
             near = NEAR * min(1.0, len(item) / SPAN)
+            empty = sum(not w for w in item)
+            before = index.before(i, numbers)
+            hits = [places.get(clean[h], 0) for h in np.flatnonzero(np.diff(before))]
             rows = max(64, (1 << 22) // target.shape[1])  # passages compared at once
             for lo in range(0, len(v), rows):
-                for p in lo + np.flatnonzero((v[lo : lo + rows] @ target).max(1) >= np.float32(near)):
+                at = STEP * (lo + np.flatnonzero((v[lo : lo + rows] @ target).max(1) >= np.float32(near)))
+                # no more words in common than these
+                begin, end = before[np.maximum(at - len(item), 0)], before[np.minimum(at + SPAN + len(item), len(clean))]
+                for p, h, j in zip(at.tolist(), begin.tolist(), end.tolist(), strict=True):
                     if best[0] == len(item):
                         return best
-                    p = int(p) * STEP
-                    around = clean[max(0, p - len(item)) : p + SPAN + len(item)]
-                    if sum(w in words for w in around) < PARAPHRASED * len(item):  # no more words in common than this
+                    if j - h + empty < max(best[0], PARAPHRASED * len(item) - 1e-9):
                         continue
-                    best = max(best, (lcs(item, around), holds(around, answer), -p))
+                    around = clean[max(0, p - len(item)) : p + SPAN + len(item)]
+                    n = aligned([places.get(w, 0) for w in around] if empty else hits[h:j], len(item))
+                    if n >= best[0]:
+                        best = max(best, (n, holds(around, answer), -p))
             return best
 
         def one(ids, texts):
             out = []
-            wanted: dict[int, list[int]] = {}
+            wanted: dict[int, tuple[list[int], np.ndarray]] = {}
             for some in range(0, len(texts), ROWS):  # a part of the batch at a time, to hold less
                 for block in tokens.blocks(bare_texts(texts.slice(some, ROWS))):
                     numbers = index.ids(block.hashes)
                     for at, (lo, hi) in enumerate(zip(block.bounds[:-1], block.bounds[1:], strict=True), some + block.first):
                         if found := index.possible(numbers[lo:hi]):
-                            wanted[at] = found
+                            wanted[at] = (found, numbers[lo:hi])
             some = sorted(wanted)
             chosen = texts.take(pa.array(some, pa.int64())) if some else None
             for n_th, b in texts_of(tokens, chosen) if some else ():
                 d, v, clean = ids[some[n_th]].as_py(), passages(space, b), bare(words_of(chosen[n_th].as_py()))
-                for i in wanted[some[n_th]]:
-                    n, answered, p = match(i, v, clean)
+                found, told = wanted[some[n_th]]
+                numbers = np.full(len(clean), -1)
+                numbers[np.fromiter(map(bool, clean), bool, len(clean))] = told  # words that are nothing without their marks have none
+                for i in found:
+                    n, answered, p = match(i, v, clean, numbers)
                     size = len(known[i][1])
                     if n >= COPIED * size or (n >= PARAPHRASED * size and answered):
                         out.append((d, known[i][0], n, size, answered, -p))
@@ -292,7 +359,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
     """(doc_id, item_id) of every document that holds an item: lcs, item_words, answer, near_word (a word near it)."""
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).where("doc_id IS NOT NULL")
     items = benchmark.select(F.col(item_id).cast("long").alias("item_id"), F.col(item_text).alias("text")).where("item_id IS NOT NULL AND text IS NOT NULL")
-    df, n, words = document_frequency(docs)
+    df, n = document_frequency(docs)
     weight = np.log((n + 1) / (df + 1.0)) + 0.01
     schema = "doc_id long, item_id long, lcs int, item_words int, answer boolean, near_word int"
     out = docs.sparkSession.createDataFrame([], schema)
@@ -304,7 +371,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
     for r in items.distinct().orderBy("item_id", "text").toLocalIterator():  # the stated query set, in blocks
         if not words_of(r.text):
             continue
-        space = latent_space(docs, items, weight, words) if space is None else space
+        space = latent_space(docs, items, weight) if space is None else space
         block.append((r.item_id, r.text))
         if len(block) == ITEMS:
             out, block = out.unionByName(search(block)), []
