@@ -34,6 +34,8 @@ from trendloom.llm.common import MULTIPLIER, BitTable, Tokenizer, count_hashes,
 
 #: Buckets of the rarity table, as a power of two.
 RARITY_BITS = 23
+#: Texts whose full sets are made at once.
+TEXTS = 1024
 #: Longs of a wide signature.
 WIDE = 4
 #: A prefix entry holds a set's size and a word's place in it in one number, up to these bounds (filters stay lossless beyond).
@@ -194,7 +196,7 @@ def later_matches(docs: DataFrame) -> DataFrame:
     discard(told)
     ends = pairs.select(F.explode(F.array(F.struct(F.col("a").alias("doc_id"), F.col("i").alias("line")), F.struct(F.col("b").alias("doc_id"), F.col("j").alias("line")))).alias("w")).select("w.*")
     hashes = stage(map_batches(ends, "h long", _hashed).distinct(), "ln-ends")
-    sets = stage(map_batches(docs, "doc_id long, line int, n int, s0 long, s1 long, s2 long, s3 long, w array<long>", _full_sets(BitTable.of(hashes, hashes.count()))), "ln-sets")
+    sets = stage(map_batches(docs, "doc_id long, line int, n int, s0 long, s1 long, s2 long, s3 long, w array<long>", _full_sets(BitTable.of(hashes, hashes.count())), TEXTS), "ln-sets")
     discard(hashes)
     likest = pairs.groupBy("b", "j").agg(F.min(F.struct("bits", "a", "i")).alias("m")).select("b", "j", F.col("m.a").alias("a"), F.col("m.i").alias("i"))
     first = stage(verified(likest, sets), "ln-first")
