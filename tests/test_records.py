@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import csv
 import io
+import itertools
 import random
 
 import pytest
@@ -219,3 +220,53 @@ def test_unfinished_folders_are_no_tables(spark, scratch):
     assert exists(spark, path)
     publish.remove(spark, path + "/_SUCCESS")
     assert not exists(spark, path)
+
+
+def test_open_quotes_are_told_with_and_without_stepping_through(spark):
+    """Lines whose quotes are all of closed fields are told at once; all others by their states."""
+    from trendloom.sources import records
+
+    pieces = ["", "a", '"b"', '"', '""', '"c', 'd"', '"e""f"', "5\" x", '"g,h"', '"i"j']
+    for sep in (",", "\t"):
+        lines = [sep.join(p) for p in itertools.product(pieces, repeat=3)]
+        df = spark.createDataFrame([(x,) for x in lines], "value string").withColumn("open", records.spanning(F.col("value"), sep))
+        assert {r.value: r.open for r in df.collect()} == {x: records._open(x, sep) for x in lines}
+
+
+def test_states_go_over_parts_of_a_block(spark, scratch, monkeypatch):
+    """Records that span the bounds of the parts whose states are composed are whole."""
+    from trendloom.sources import records
+    from trendloom.sources.readers import read_delimited
+
+    path = scratch("parts") + "/a.csv"
+    lines = ["id,note"]
+    for i in range(60):
+        lines.append(f'{i},"x{i}' + "\n" * (i % 7) + f'end, ""{i}"""')
+    spark.createDataFrame([("\n".join(lines),)], "value string").coalesce(1).write.text(path)
+    want = {(str(i), f"x{i}" + "\n" * (i % 7) + f'end, "{i}"') for i in range(60)}
+    for bits in (0, 1, 2, 16):
+        monkeypatch.setattr(records, "PART_BITS", bits)
+        assert {tuple(r) for r in read_delimited(spark, path).collect()} == want
+
+
+def test_rejects_are_told_from_records_parsed_once(spark, scratch):
+    """The filter for rejects stands above the parser and below the other columns."""
+    import trendloom.sources.writers as writers
+    from trendloom.plans.etl import run_etl
+
+    path, base = scratch("once") + "/a.csv", scratch("once-out")
+    spark.createDataFrame([("artists,name,release_date,popularity\nx,y,1999,1\nz,,n/d,2\n",)], "value string").coalesce(1).write.text(path)
+    plans, write = [], writers.write_parquet_safe
+
+    def told(df, *rest):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return write(df, *rest)
+
+    writers.write_parquet_safe = told
+    try:
+        run_etl(spark, path, base + "/t.parquet", rejects_path=base + "/r.parquet")
+    finally:
+        writers.write_parquet_safe = write
+    last = plans[-1]
+    assert last.count("from_csv") == 1 and last.index("from_json") < last.index("Filter") < last.index("from_csv")
+    assert [r.reject_reason for r in spark.read.parquet(base + "/r.parquet").collect()] == ["bad_year"]

@@ -2,8 +2,8 @@
 
 A line acts on the state "inside a quoted field": given the state before it, it
 fixes the state after it. These actions compose, so the state at every line comes
-from running composition inside each block of a file and then over the file's
-blocks, and no file has to go through one task. All of it is built-in
+from running composition inside each part of a block of a file and then over the
+file's parts, and no file or block has to go through one task. All of it is built-in
 expressions; files without a break inside quotes skip it.
 """
 
@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 MAX_RECORD_LINES = 10_000
 #: Files with breaks in quotes that are named one by one; beyond it all files are regrouped.
 MAX_NAMED_FILES = 1000
+#: Lines of a task whose states are composed together, as a power of two.
+PART_BITS = 16
 #: Lines that a header may span.
 HEAD_LINES = 64
 LATIN_1 = "ISO-8859-1"
@@ -73,7 +75,11 @@ def open_after(line: Column, sep: str, inside: bool) -> Column:
         return F.when(part == "", at).when(at == _INSIDE, _INSIDE).when(part.endswith(F.lit(sep)), _BEGIN).otherwise(_FIELD)
 
     state = F.aggregate(F.slice(parts, 2, F.size(parts)), begin, step)
-    return F.when(line.contains('"'), state == _INSIDE).otherwise(F.lit(inside))
+    if inside:
+        return F.when(line.contains('"'), state == _INSIDE).otherwise(F.lit(True))
+    # where all quotes are those of quoted fields that end on the line, none is open: no need to step through it
+    left = F.regexp_replace(F.concat(F.lit(sep), line), f'{re.escape(sep)}"[^"]*+"(?={re.escape(sep)}|\\z)', sep)
+    return F.when(line.contains('"'), F.when(left.contains('"'), state == _INSIDE).otherwise(F.lit(False))).otherwise(F.lit(False))
 
 
 def spanning(lines: Column, sep: str) -> Column:
@@ -145,10 +151,10 @@ def _state(kind: str, before: Column) -> Column:
     return F.when(last.isNull(), (before + flips) % 2).otherwise((last["state"] + flips - last["flips"]) % 2).cast("int")
 
 
-def _actions(df: DataFrame, after0: Column, after1: Column, by: list[str], order: str) -> DataFrame:
+def _actions(df: DataFrame, after0: Column, after1: Column, by: list[str], order: list[str]) -> DataFrame:
     """Adds the running compositions before and up to each row."""
-    upto = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    before = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    upto = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     df = df.withColumns({"after0": after0.cast("int"), "after1": after1.cast("int")})
     df = df.withColumn("flip", ((F.col("after0") == 1) & (F.col("after1") == 0)).cast("int"))
     df = df.withColumn("here", F.sum("flip").over(upto))
@@ -159,20 +165,22 @@ def _actions(df: DataFrame, after0: Column, after1: Column, by: list[str], order
 def regrouped(lines: DataFrame, sep: str) -> DataFrame:
     """Records (value, file, block, n; in order of the last three) of lines (value, file, block) that are split at line feeds only."""
     value = F.col("value")
-    lines = lines.withColumn("n", F.monotonically_increasing_id())
-    lines = _actions(lines, open_after(value, sep, False), open_after(value, sep, True), ["file", "block"], "n")
-    upto = Window.partitionBy("file", "block").orderBy("n").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # a task's lines in parts of bounded size, so that no window holds a whole block
+    part = ["file", "block", "part"]
+    lines = lines.withColumn("n", F.monotonically_increasing_id()).withColumn("part", F.shiftright("n", PART_BITS))
+    lines = _actions(lines, open_after(value, sep, False), open_after(value, sep, True), part, ["n"])
+    upto = Window.partitionBy(*part).orderBy("n").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     begins = {f"begins{s}": (_state("before", F.lit(s)) == 0).cast("int") for s in (0, 1)}
     ends = {f"ends{s}": _state("upto", F.lit(s)) for s in (0, 1)}
-    lines = lines.select("file", "block", "n", "value", *[c.alias(k) for k, c in {**begins, **ends}.items()])
+    lines = lines.select(*part, "n", "value", *[c.alias(k) for k, c in {**begins, **ends}.items()])
     lines = lines.withColumns({f"record{s}": F.sum(f"begins{s}").over(upto) for s in (0, 1)})
-    # one row for each block of a file
-    blocks = lines.groupBy("file", "block").agg(*[F.max_by(f"ends{s}", "n").alias(f"ends{s}") for s in (0, 1)], *[F.sum(f"begins{s}").alias(f"count{s}") for s in (0, 1)])
-    blocks = _actions(blocks, F.col("ends0"), F.col("ends1"), ["file"], "block").withColumn("inside", _state("before", F.lit(0)))
+    # one row for each part of a block of a file
+    blocks = lines.groupBy(*part).agg(*[F.max_by(f"ends{s}", "n").alias(f"ends{s}") for s in (0, 1)], *[F.sum(f"begins{s}").alias(f"count{s}") for s in (0, 1)])
+    blocks = _actions(blocks, F.col("ends0"), F.col("ends1"), ["file"], ["block", "part"]).withColumn("inside", _state("before", F.lit(0)))
     held = F.when(F.col("inside") == 0, F.col("count0")).otherwise(F.col("count1"))
-    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = blocks.withColumn("held", held).select("file", "block", "inside", F.coalesce(F.sum("held").over(earlier), F.lit(0)).alias("base"))
-    lines = lines.join(blocks, ["file", "block"]).select("file", "block", "n", "value", (F.col("base") + F.when(F.col("inside") == 0, F.col("record0")).otherwise(F.col("record1"))).alias("record"))
+    earlier = Window.partitionBy("file").orderBy("block", "part").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.withColumn("held", held).select(*part, "inside", F.coalesce(F.sum("held").over(earlier), F.lit(0)).alias("base"))
+    lines = lines.join(blocks, part).select("file", "block", "n", "value", (F.col("base") + F.when(F.col("inside") == 0, F.col("record0")).otherwise(F.col("record1"))).alias("record"))
     stray = lines.groupBy("file", "record").agg(F.count("*").alias("size")).where(F.col("size") > MAX_RECORD_LINES).select("file", "record", F.lit(True).alias("stray"))
     lines = lines.join(stray, ["file", "record"], "left").withColumn("alone", F.when(F.col("stray"), F.col("n")))
     whole = lines.groupBy("file", "record", "alone").agg(F.array_sort(F.collect_list(F.struct("block", "n", "value"))).alias("some"))
