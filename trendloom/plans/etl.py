@@ -210,16 +210,19 @@ def run_etl(spark, in_path: str, out_path: str, platform: str | None = DEFAULT_P
     dialect = open_delimited(spark, in_path)
     told = len(dialect.names)  # the position of the reader's info
 
-    def attempt(spans: bool | None, zero: bool, fallback: bool) -> tuple[str, DataFrame, dict]:
+    def told_rows(found: DataFrame, zero: bool, fallback: bool):
+        r = resolve(found, platform)
+        r.names = r.names[:told]
+        if zero:
+            r.derived["streams"] = F.lit(1).cast("bigint")
+        return r, r.with_derived("popularity").withColumn("_reason", reject_reason(F.col("_year"), r.year_given, lo, hi, F.lit(0 if fallback else 1)))
+
+    def attempt(spans: bool | None, zero: bool, fallback: bool) -> tuple[str, dict]:
         lines = records.read_records(spark, in_path, dialect, spans)
         breaks, met = Observation(), Observation()
         if spans is False:
             lines = lines.observe(breaks, F.coalesce(F.max(records.spanning(F.col("value"), dialect.sep).cast("int")), F.lit(0)).alias("open"))
-        r = resolve(parse_delimited(lines, dialect, encoding, info="_info"), platform)
-        r.names = r.names[:told]
-        if zero:
-            r.derived["streams"] = F.lit(1).cast("bigint")
-        df = r.with_derived("popularity").withColumn("_reason", reject_reason(F.col("_year"), r.year_given, lo, hi, F.lit(0 if fallback else 1)))
+        r, df = told_rows(parse_delimited(lines, dialect, encoding, info="_info"), zero, fallback)
         many = lambda c: F.count_if(F.coalesce(c, F.lit(False)))
         info = F.col(f"r{told}")
         total = F.lit(None).cast("double") if r.popularity is None else F.sum("_popularity")
@@ -231,13 +234,18 @@ def run_etl(spark, in_path: str, out_path: str, platform: str | None = DEFAULT_P
             any_in_range_agg("_year", lo, hi).alias("any_in_range"), total.alias("popularity_total"))
         df = df.withColumn("_generation", generation_of(F.col("_year")))
         written = write_parquet_safe(r.output(df.where("_reason IS NULL")), publish.staging_path(out_path), partition_by)
-        rejects = df.where("_reason IS NOT NULL")
-        rejects = r.output(rejects, F.col("_reason").alias("reject_reason"), info["record"].alias("reject_record"))
-        return written, rejects, {**met.get, **(breaks.get if spans is False else {})}
+        return written, {**met.get, **(breaks.get if spans is False else {})}
+
+    def left_out(spans: bool | None, zero: bool, fallback: bool) -> DataFrame:
+        # what is observed keeps the filter above the parser, so that a record is parsed once and only rejects get the other columns
+        found = parse_delimited(records.read_records(spark, in_path, dialect, spans), dialect, encoding, info="_info").observe(Observation(), F.count("*").alias("read"))
+        r, df = told_rows(found, zero, fallback)
+        df = df.withColumn("_generation", generation_of(F.col("_year")))
+        return r.output(df.where("_reason IS NOT NULL"), F.col("_reason").alias("reject_reason"), F.col(f"r{told}")["record"].alias("reject_record"))
 
     spans, zero, fallback = multi_line or False, False, False
     while True:
-        staged, rejects, seen = attempt(spans, zero, fallback)
+        staged, seen = attempt(spans, zero, fallback)
         if multi_line is None and spans is False and seen.get("open"):
             spans = None
         else:
@@ -251,7 +259,7 @@ def run_etl(spark, in_path: str, out_path: str, platform: str | None = DEFAULT_P
     if counts["latin_1"] and counts["utf_8"]:
         log.warning("%s mixes encodings: %d records of UTF-8, %d of Latin-1", in_path, counts["utf_8"], counts["latin_1"])
     if rejects_path is not None:
-        write_parquet_safe(rejects, rejects_path)
+        write_parquet_safe(left_out(spans, zero, fallback), rejects_path)
     as_csv = staged.endswith(".csv")
     target = csv_sibling(out_path) if as_csv else out_path
     publish.move(spark, staged, target)
