@@ -5,17 +5,21 @@ told by a 128-bit digest. The words of a line are ordered by rarity (the power
 of two of their count, then their hash); two lines with Jaccard >= 4/5 share a
 word among the first n - ceil(4n/5) + 1 of each. Only these prefixes are joined,
 by word, under filters that lose nothing: length, position (words that can still
-be shared) and a 64-bit signature (bits that differ bound the words that
-differ). Words that no other line has can't be shared and are left out. A line
-goes if any earlier one (by doc_id, then line number) is similar to it, so one is
-enough: pairs are verified on the full sets in two rounds, for each line first
-the one with the likest signature, then, of lines not told yet, all others that
-signatures of 256 bits leave possible.
+be shared) and a signature of 128 bits (bits that differ bound the words that
+differ). Words that no other line has can't be shared and are left out.
+
+A line goes if any earlier one (by doc_id, then line number) is similar to it, so one is
+enough, and the lines of a large family of near copies are not paired with each other:
+first, words are dealt to PARTS parts by their hash; lines that have the same words in
+a part are sorted, and each is verified on the full sets with the first and the
+previous of them only. Then only lines not told by that are joined with all earlier
+ones, and verified where signatures of 256 bits leave it possible.
 
 Two tables are sent to all tasks: the rarity of words by hash bucket (of fixed
 size; buckets that words share make the order less sharp, nothing else), and
 the bits of the lines whose full sets are wanted (sized from their number, up to
-a bound; bits that lines share cost some sets that nobody asks for).
+a bound; bits that lines share cost some sets that nobody asks for), and as such a
+table the documents that hold them.
 
 Defined results: blank lines are never similar to any and stay; a null text
 stays null; rows without id are left as they are; rows that repeat an id and text
@@ -36,10 +40,10 @@ from trendloom.llm.common import MULTIPLIER, BitTable, Tokenizer, count_hashes,
 RARITY_BITS = 23
 #: Texts whose full sets are made at once.
 TEXTS = 1024
-#: Longs of a wide signature.
-WIDE = 4
-#: A prefix entry holds a set's size and a word's place in it in one number, up to these bounds (filters stay lossless beyond).
-SIZE_MOST, AT_BITS = (1 << 19) - 1, 12
+#: Longs of a signature and of a wide one, parts that words are dealt to.
+SHORT, WIDE, PARTS = 2, 4, 6
+#: A prefix entry holds a set's size and a word's place in it in one number, up to these bounds (filters stay lossless beyond), and its sign tells lines told already.
+SIZE_MOST, AT_BITS, TOLD = (1 << 19) - 1, 12, -(1 << 31)
 #: Sort key: 12 bits line, 6 bits rarity, 46 bits of the word's hash; so 4096 lines are sorted at once.
 LINES, TOKEN_BITS = 4096, 46
 
@@ -77,8 +81,24 @@ def line_sets(block, levels: np.ndarray | None):
         yield doc[heads], number[heads], key, owner, np.diff(np.append(start, len(key))), start
 
 
+def signature(token: np.ndarray, start: np.ndarray, longs: int, shift: int) -> list[np.ndarray]:
+    """Of each set, the bits that its words have in so many longs."""
+    place = (token >> np.uint64(shift)) & np.uint64(64 * longs - 1)
+    bit = np.uint64(1) << (place & np.uint64(63))
+    return [np.bitwise_or.reduceat(np.where(place >> np.uint64(6) == np.uint64(j), bit, np.uint64(0)), start).view(np.int64) for j in range(longs)]
+
+
+def part_keys(token: np.ndarray, owner: np.ndarray, lines: int) -> np.ndarray:
+    """Of each of the lines, a hash of the words in each part, 0 if there are none."""
+    h = mix64(token + MULTIPLIER)
+    words = np.zeros(lines * PARTS, np.uint64)
+    np.add.at(words, owner * PARTS + (h % np.uint64(PARTS)).astype(np.int64), mix64(h))
+    name = np.tile(np.arange(PARTS, dtype=np.uint64), lines)
+    return np.where(words == 0, np.uint64(0), mix64(words * MULTIPLIER + name)).view(np.int64)
+
+
 def _prefixes(levels: np.ndarray):
-    """For each line with words: its set's digest, size and signature, and its prefix from word ``skip`` on."""
+    """For each line with words: its set's digest, size, signature and parts, and its prefix from word ``skip`` on."""
 
     def make():
         tokens = Tokenizer()
@@ -89,7 +109,7 @@ def _prefixes(levels: np.ndarray):
                 for doc, number, key, owner, n, start in line_sets(block, levels):
                     token = key & np.uint64((1 << TOKEN_BITS) - 1)
                     a, b = np.add.reduceat(mix64(token + np.uint64(1)), start), np.add.reduceat(mix64(token ^ MULTIPLIER), start)
-                    sig = np.bitwise_or.reduceat(np.uint64(1) << (token & np.uint64(63)), start)
+                    sig = signature(token, start, SHORT, 0)
                     alone = ((key >> np.uint64(TOKEN_BITS)) & np.uint64(63)) == 1
                     skip = np.add.reduceat(alone.astype(np.int32), start)
                     use = (np.arange(len(key)) - start[owner] < (n - (4 * n + 4) // 5 + 1)[owner]) & ~alone
@@ -98,10 +118,12 @@ def _prefixes(levels: np.ndarray):
                     same = np.zeros(len(order), bool)
                     same[order[1:]] = (a[order[1:]] == a[order[:-1]]) & (b[order[1:]] == b[order[:-1]]) & (ids_[order[1:]] == ids_[order[:-1]]) & (number[order[1:]] != number[order[:-1]])  # not of rows that repeat
                     use &= ~same[owner]
-                    parts.append((ids_, number, a.view(np.int64), b.view(np.int64), n, sig.view(np.int64), skip, np.add.reduceat(use.astype(np.int32), start), token[use].view(np.int64)))
+                    asked = ~same & (n > 3)  # sets of three words and fewer are similar to equal ones only
+                    keys = part_keys(token, owner, len(n)).reshape(-1, PARTS)[asked].ravel()
+                    parts.append((ids_, number, a.view(np.int64), b.view(np.int64), n, sig[0], skip, np.add.reduceat(use.astype(np.int32), start), token[use].view(np.int64), sig[1], asked * PARTS, keys))
             col = lambda j, t=np.int64: np.concatenate([p[j] for p in parts]).astype(t) if parts else np.zeros(0, t)
-            ends = np.concatenate([[0], np.cumsum(col(7))]).astype(np.int32)
-            return {"doc_id": col(0), "line": col(1, np.int32), "d1": col(2), "d2": col(3), "n": col(4, np.int32), "sig": col(5), "skip": col(6, np.int32), "words": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(col(8), pa.int64()))}
+            lists = lambda sizes, values: pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(col(sizes))]), pa.int32()), pa.array(col(values), pa.int64()))
+            return {"doc_id": col(0), "line": col(1, np.int32), "d1": col(2), "d2": col(3), "n": col(4, np.int32), "s0": col(5), "s1": col(9), "skip": col(6, np.int32), "words": lists(7, 8), "parts": lists(10, 11)}
 
         return one
 
@@ -116,22 +138,25 @@ def _hashed():
     return lambda ids, line: {"h": line_hash(ids.to_numpy(), line.to_numpy()).view(np.int64)}
 
 
-def _full_sets(wanted: BitTable):
-    """The full sets of the lines that the table holds."""
+def _hashed_documents():
+    return lambda ids: {"h": mix64(ids.to_numpy().view(np.uint64)).view(np.int64)}
+
+
+def _full_sets(wanted: BitTable, documents: BitTable):
+    """The full sets of the lines that the table holds, in the documents that the other one holds."""
 
     def make():
         tokens = Tokenizer()
 
         def one(ids, texts):
-            doc_id, parts = ids.to_numpy(zero_copy_only=False), []
-            for block in tokens.blocks(texts):
+            held = documents.holds(mix64(ids.to_numpy(zero_copy_only=False).view(np.uint64)))
+            doc_id, parts = ids.to_numpy(zero_copy_only=False)[held], []
+            for block in tokens.blocks(texts.filter(pa.array(held))):
                 for doc, number, key, owner, n, start in line_sets(block, None):
                     ids_ = doc_id[doc + block.first]
                     hit = wanted.holds(line_hash(ids_, number))
                     token = key & np.uint64((1 << TOKEN_BITS) - 1)
-                    place = (token >> np.uint64(6)) & np.uint64(255)  # other bits than those of the short signature
-                    bit = np.uint64(1) << (place & np.uint64(63))
-                    wide = [np.bitwise_or.reduceat(np.where(place >> np.uint64(6) == np.uint64(j), bit, np.uint64(0)), start)[hit].view(np.int64) for j in range(WIDE)]
+                    wide = [s[hit] for s in signature(token, start, WIDE, 7)]  # other bits than those of the short one
                     parts.append((ids_[hit], number[hit], n[hit], token[hit[owner]].view(np.int64), *wide))
             col = lambda j, t=np.int64: np.concatenate([p[j] for p in parts]).astype(t) if parts else np.zeros(0, t)
             ends = np.concatenate([[0], np.cumsum(col(2))]).astype(np.int32)
@@ -142,16 +167,55 @@ def _full_sets(wanted: BitTable):
     return make
 
 
-def candidate_pairs(told: DataFrame) -> DataFrame:
-    """(a, i, b, j, bits): lines that share a prefix word and pass the filters, the earlier first, with the bits that differ."""
-    meta = F.shiftleft(F.least("n", F.lit(SIZE_MOST)), AT_BITS)
-    entries = told.where("size(words) > 0").select("doc_id", "line", "sig", "skip", meta.alias("n"), F.posexplode("words").alias("at", "word"))
-    entries = entries.select("word", "doc_id", "line", "sig", F.col("n").bitwiseOR(F.least(F.col("skip") + F.col("at"), F.lit((1 << AT_BITS) - 1))).alias("meta"))
+def _neighbours(batches):
+    """Sorted (key, doc_id, line, n, s0, s1): each line with the first and the previous one of its key, where sizes and signatures leave it possible."""
+    schema = pa.schema([("a", pa.int64()), ("i", pa.int32()), ("b", pa.int64()), ("j", pa.int32())])
+    held = None  # the first line of the last key, and the last line
+    for batch in batches:
+        cols = [c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns]
+        if held is not None:
+            cols = [np.concatenate([h, c]) for h, c in zip(held, cols, strict=True)]
+        lead = 0 if held is None else 2
+        key, doc, line, n, s0, s1 = cols
+        if len(key) <= lead:
+            continue
+        at = np.arange(len(key))
+        head = np.maximum.accumulate(np.where(np.concatenate([[True], key[1:] != key[:-1]]), at, 0))
+        here = np.concatenate([at[lead:], at[lead:]])
+        there = np.concatenate([head[lead:], np.maximum(at[lead:] - 1, head[lead:])])
+        there = np.where((doc[there] == doc[here]) & (line[there] == line[here]), head[here], there)  # rows that repeat are one
+        bits = sum(np.bitwise_count((s[here] ^ s[there]).view(np.uint64)).astype(np.int64) for s in (s0, s1))
+        near = (4 * np.maximum(n[here], n[there]) <= 5 * np.minimum(n[here], n[there])) & (9 * bits <= n[here] + n[there]) & ((doc[here] != doc[there]) | (line[here] != line[there]))
+        here, there = here[near], there[near]
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip((doc[there], line[there], doc[here], line[here]), schema, strict=True)], schema=schema)
+        held = [c[[head[-1], len(key) - 1]] for c in cols]
+
+
+def neighbours(told: DataFrame) -> DataFrame:
+    """(a, i, b, j): lines that have the same words in a part, the later with the first and the previous of them."""
+    entries = told.select(F.explode("parts").alias("key"), "doc_id", "line", "n", "s0", "s1").where("key <> 0")
+    order = ("key", "doc_id", "line")
+    return entries.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_neighbours, "a long, i int, b long, j int").distinct()
+
+
+def opened(told: DataFrame, known: DataFrame) -> DataFrame:
+    """The lines with a prefix, ``open`` if they are not among the ``known`` (b, j)."""
+    known = known.select(F.col("b").alias("doc_id"), F.col("j").alias("line"), F.lit(True).alias("known"))
+    some = told.where("size(words) > 0").join(known, ["doc_id", "line"], "left")
+    return some.select("doc_id", "line", "n", "s0", "s1", "skip", "words", F.col("known").isNull().alias("open"))
+
+
+def candidate_pairs(lines: DataFrame) -> DataFrame:
+    """(a, i, b, j): lines that share a prefix word and pass the filters, the earlier first, the later an open one."""
+    meta = F.shiftleft(F.least("n", F.lit(SIZE_MOST)), AT_BITS).bitwiseOR(F.when(F.col("open"), 0).otherwise(TOLD))
+    entries = lines.select("doc_id", "line", "s0", "s1", "skip", meta.alias("n"), F.posexplode("words").alias("at", "word"))
+    entries = entries.select("word", "doc_id", "line", "s0", "s1", F.col("n").bitwiseOR(F.least(F.col("skip") + F.col("at"), F.lit((1 << AT_BITS) - 1))).alias("meta"))
     x, y = entries.alias("x"), entries.alias("y")
-    n = {s: F.shiftright(f"{s}.meta", AT_BITS) for s in "xy"}
+    # told lines have no size that is similar to any as the later ones; so both sides are one shuffle
+    n = {"x": F.shiftright(F.col("x.meta").bitwiseAND(~TOLD), AT_BITS), "y": F.shiftright("y.meta", AT_BITS)}
     left = {s: n[s] - F.col(f"{s}.meta").bitwiseAND((1 << AT_BITS) - 1) for s in "xy"}
     both = n["x"] + n["y"]
-    bits = F.bit_count(F.col("x.sig").bitwiseXOR(F.col("y.sig")))
+    bits = F.bit_count(F.col("x.s0").bitwiseXOR(F.col("y.s0"))) + F.bit_count(F.col("x.s1").bitwiseXOR(F.col("y.s1")))
     near = (
         (F.col("x.word") == F.col("y.word"))
         & (4 * F.greatest(n["x"], n["y"]) <= 5 * F.least(n["x"], n["y"]))
@@ -159,7 +223,7 @@ def candidate_pairs(told: DataFrame) -> DataFrame:
         & (9 * F.least(left["x"], left["y"]) >= 4 * both)
         & ((F.col("x.doc_id") < F.col("y.doc_id")) | ((F.col("x.doc_id") == F.col("y.doc_id")) & (F.col("x.line") < F.col("y.line"))))
     )
-    return x.join(y, near).select(F.col("x.doc_id").alias("a"), F.col("x.line").alias("i"), F.col("y.doc_id").alias("b"), F.col("y.line").alias("j"), bits.alias("bits")).distinct()
+    return x.join(y, near).select(F.col("x.doc_id").alias("a"), F.col("x.line").alias("i"), F.col("y.doc_id").alias("b"), F.col("y.line").alias("j")).distinct()
 
 
 def possible(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -180,32 +244,42 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return similar.select("b", "j").distinct()
 
 
+def similar(docs: DataFrame, pairs: DataFrame, name: str) -> DataFrame:
+    """(b, j) of the pairs (a, i, b, j) of lines of ``docs`` that are similar."""
+    ends = pairs.select(F.explode(F.array(F.struct(F.col("a").alias("doc_id"), F.col("i").alias("line")), F.struct(F.col("b").alias("doc_id"), F.col("j").alias("line")))).alias("w")).select("w.*")
+    ends = stage(ends.distinct(), f"ln-{name}-ends")
+    hashes = map_batches(ends, "h long", _hashed)
+    documents = stage(ends.select("doc_id").distinct(), f"ln-{name}-documents")
+    wanted, held = BitTable.of(hashes, ends.count()), BitTable.of(map_batches(documents, "h long", _hashed_documents), documents.count())
+    sets = stage(map_batches(docs, "doc_id long, line int, n int, s0 long, s1 long, s2 long, s3 long, w array<long>", _full_sets(wanted, held), TEXTS), f"ln-{name}-sets")
+    left = stage(possible(pairs, sets), f"ln-{name}-left")
+    found = stage(verified(left, sets), f"ln-{name}")
+    for made in (ends, documents, sets, left):
+        discard(made)
+    return found
+
+
 def later_matches(docs: DataFrame) -> DataFrame:
     """(doc_id, line) of every line that is similar to an earlier one; ``docs`` has doc_id and text."""
     docs = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", "text")
-    found = stage(map_batches(docs, "doc_id long, line int, d1 long, d2 long, n int, sig long, skip int, words array<long>", _prefixes(rarity(docs))), "ln-lines")
+    found = stage(map_batches(docs, "doc_id long, line int, d1 long, d2 long, n int, s0 long, s1 long, skip int, words array<long>, parts array<long>", _prefixes(rarity(docs))), "ln-lines")
     classes = stage(found.groupBy("d1", "d2").agg(F.min(F.struct("doc_id", "line")).alias("first")), "ln-classes")
     copy = F.struct("doc_id", "line") > F.col("first")
-    lines = found.join(classes, ["d1", "d2"]).select("doc_id", "line", copy.alias("copy"), "n", "sig", "skip", F.when(~copy & (F.col("n") > 3), F.col("words")).alias("words"))
+    lines = found.join(classes, ["d1", "d2"]).select("doc_id", "line", copy.alias("copy"), "n", "s0", "s1", "skip", F.when(~copy & (F.col("n") > 3), F.col("words")).alias("words"), F.when(~copy, F.col("parts")).alias("parts"))
     told = stage(lines, "ln-told")  # sets of three words and fewer are similar to equal ones only
     discard(found)
     discard(classes)
     # copies of a class's first line go with it or without it: they are copies anyway
     copies = stage(told.where("copy").select(F.col("doc_id").alias("b"), F.col("line").alias("j")), "ln-copies")
-    pairs = stage(candidate_pairs(told), "ln-pairs")
+    links = stage(neighbours(told), "ln-links")
+    first = similar(docs, links, "first")
+    discard(links)
+    lines = stage(opened(told, first), "ln-open")
     discard(told)
-    ends = pairs.select(F.explode(F.array(F.struct(F.col("a").alias("doc_id"), F.col("i").alias("line")), F.struct(F.col("b").alias("doc_id"), F.col("j").alias("line")))).alias("w")).select("w.*")
-    hashes = stage(map_batches(ends, "h long", _hashed).distinct(), "ln-ends")
-    sets = stage(map_batches(docs, "doc_id long, line int, n int, s0 long, s1 long, s2 long, s3 long, w array<long>", _full_sets(BitTable.of(hashes, hashes.count())), TEXTS), "ln-sets")
-    discard(hashes)
-    likest = pairs.groupBy("b", "j").agg(F.min(F.struct("bits", "a", "i")).alias("m")).select("b", "j", F.col("m.a").alias("a"), F.col("m.i").alias("i"))
-    first = stage(verified(likest, sets), "ln-first")
-    rest = pairs.select("a", "i", "b", "j").join(first, ["b", "j"], "left_anti").join(likest, ["a", "i", "b", "j"], "left_anti")
-    left = stage(possible(rest, sets), "ln-left")
+    pairs = stage(candidate_pairs(lines), "ln-pairs")
+    discard(lines)
+    more = similar(docs, pairs, "more")
     discard(pairs)
-    more = stage(verified(left, sets), "ln-more")
-    discard(sets)
-    discard(left)
     return copies.unionByName(first).unionByName(more).toDF("doc_id", "line").distinct()
 
 
