@@ -2,7 +2,7 @@
 
 import random
 
-from trendloom.llm import lines
+from trendloom.llm import lines, pii
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars int"
 
@@ -21,3 +21,32 @@ def test_near_copies_of_a_line_are_not_paired(spark, monkeypatch):
     got = lines.dedup_lines(spark.createDataFrame(rows, SCHEMA).repartition(3)).collect()
     assert sorted(r.doc_id for r in got if r.n_removed == 0) == [0]
     assert max(made.values()) <= 25 * len(rows)  # there are 179,700 pairs
+
+
+def test_only_known_patterns_are_counted(spark, monkeypatch):
+    """Personal data: patterns of the texts that aren't known ones make no rows."""
+    rng, made = random.Random(6), {}
+    stage, map_batches = pii.stage, pii.map_batches
+
+    def staged(df, name):
+        made[name] = stage(df, name)
+        return made[name]
+
+    def mapped(df, schema, make, rows=None):
+        out = map_batches(df, schema, make, rows)
+        if schema == "pattern long, n long":
+            made["counted"] = out
+        return out
+
+    monkeypatch.setattr(pii, "stage", staged)
+    monkeypatch.setattr(pii, "map_batches", mapped)
+    word = lambda: "".join(rng.choices("abcdefghij", k=4))
+    words = lambda n: " ".join(word() for _ in range(n))
+    before = [f"to{word()}" for _ in range(40)]
+    text = lambda i: f"{words(200)} {before[i % 40]} a{i}@b.org {words(200)}"
+    rows = [(i, text(i), "en", "s", 1) for i in range(400)]
+    pii.find_pii(spark.createDataFrame(rows, SCHEMA).repartition(3)).collect()
+    known = {r.pattern for r in made["pii-known"].collect()}
+    counted = [r.pattern for r in made["counted"].collect()]
+    assert len(known) >= 30 and set(counted) == known
+    assert len(counted) <= 3 * len(known)

@@ -37,6 +37,8 @@ KINDS = ("email", "ip", "card", "phone")
 ROUNDS, SUPPORT, FLOOR, CAUTION, SURE = 3, 5, 0.1, 1.0, 0.8
 #: Words of an instance in doubt, and characters.
 SLOT, LENGTH = 4, 64
+#: Bits that a table of patterns has at least, as a power of two.
+PART_BITS = 22
 
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -157,7 +159,22 @@ def _read():
     return one
 
 
-def slots(tokens: Tokenizer, texts: pa.Array, table: BitTable):
+class Patterns:
+    """A set of patterns as two tables of bits, by the lower and by the upper half of their hashes: hardly any other pattern is held,
+    as in texts there are many times more patterns than in the set."""
+
+    def __init__(self, patterns: DataFrame):
+        n = patterns.count()
+        halves = (F.col("pattern"), F.shiftrightunsigned("pattern", 32))
+        self.low, self.high = (BitTable.of(patterns.select(h.alias("h")), n, PART_BITS) for h in halves)
+
+    def holds(self, keys: np.ndarray) -> np.ndarray:
+        out = self.low.holds(keys)
+        out[out] = self.high.holds(keys[out] >> np.uint64(32))
+        return out
+
+
+def slots(tokens: Tokenizer, texts: pa.Array, table: Patterns):
     """(block, first, stop, keys, number of words) of all places of up to SLOT words at patterns that the table holds; the first
     two kinds of pattern hold single words only."""
     for block in tokens.blocks(zeroed(texts)):
@@ -174,7 +191,7 @@ def slots(tokens: Tokenizer, texts: pa.Array, table: BitTable):
                         yield block, doc[hit], hit, hit + m, keys[hit]
 
 
-def _totals(table: BitTable):
+def _totals(table: Patterns):
     """How often the table's patterns stand in a batch's texts."""
 
     def make():
@@ -190,7 +207,7 @@ def _totals(table: BitTable):
     return make
 
 
-def _instances(table: BitTable):
+def _instances(table: Patterns):
     """Instances in doubt at the table's patterns, but for those that overlap a base span."""
 
     def make():
@@ -252,12 +269,11 @@ def find_pii(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
     # patterns with enough different seeds that fill enough of their places
     known = stage(seeds.groupBy("pattern").agg(F.count_distinct("value").alias("seeds"), F.count("*").alias("places")).where(F.col("seeds") >= SUPPORT), "pii-known")
     texts = docs.where(F.col(text).isNotNull()).select(F.col(text).alias("text"))
-    everywhere = map_batches(texts, "pattern long, n long", _totals(BitTable.of(known.select(F.col("pattern").alias("h")), known.count()))).groupBy("pattern").agg(F.sum("n").alias("n"))
+    everywhere = map_batches(texts, "pattern long, n long", _totals(Patterns(known))).groupBy("pattern").agg(F.sum("n").alias("n"))
     total = F.greatest("places", F.coalesce("n", F.lit(0)))
     good = known.join(everywhere, "pattern", "left").select("pattern", "places", total.alias("n")).where(F.col("places") >= FLOOR * F.col("n"))
     good = stage(good.select("pattern", "n"), "pii-good")
-    table = BitTable.of(good.select(F.col("pattern").alias("h")), good.count())
-    doubt = stage(map_batches(texts, "d1 long, d2 long, start int, end int, value long, patterns array<long>", _instances(table)), "pii-doubt")
+    doubt = stage(map_batches(texts, "d1 long, d2 long, start int, end int, value long, patterns array<long>", _instances(Patterns(good))), "pii-doubt")
     by_kind = seeds.groupBy("pattern", "kind").agg(F.count_distinct("value").alias("seeds"), F.count("*").alias("held")).where(F.col("seeds") >= SUPPORT)
     by_kind = stage(by_kind.join(good, "pattern").select("pattern", "kind", "held", "n"), "pii-patterns")
     open_ = doubt.select(F.explode("patterns").alias("pattern"), "value").groupBy("pattern", "value").agg(F.count("*").alias("places"))
