@@ -2,7 +2,9 @@
 
 import random
 
-from trendloom.llm import lines, pii
+import numpy as np
+
+from trendloom.llm import common, lines, pii
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars int"
 
@@ -50,3 +52,14 @@ def test_only_known_patterns_are_counted(spark, monkeypatch):
     counted = [r.pattern for r in made["counted"].collect()]
     assert len(known) >= 30 and set(counted) == known
     assert len(counted) <= 3 * len(known)
+
+
+def test_counts_of_hashes_make_a_row_for_each_part(spark):
+    """Line dedup, near duplicates: a task's counts are rows of many buckets, and their sums are exact."""
+    hashes = np.random.default_rng(7).zipf(1.3, 100_000) % (1 << 40)
+    docs = spark.createDataFrame([(int(h),) for h in hashes], "h long").repartition(3)
+    count = lambda batches: common.count_hashes(batches, lambda b: [b.column(0).to_numpy().view(np.uint64)], 14)
+    rows = docs.mapInArrow(count, "part int, at binary, n binary")
+    assert rows.count() <= 3 * 4
+    n = np.bincount(hashes & ((1 << 14) - 1), minlength=1 << 14).tolist()
+    assert common.rarity_table(rows, 14).tolist() == [c.bit_length() for c in n]

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trendloom.llm.common import MULTIPLIER, BitTable, Tokenizer, count_hashes, discard, distinct, keyed, map_batches, mix64, rarity_table, slim, stage
+from trendloom.llm.common import COUNTS, MULTIPLIER, BitTable, Tokenizer, count_hashes, discard, distinct, keyed, map_batches, mix64, rarity_table, slim, stage
 
 #: Buckets of the rarity table, as a power of two.
 RARITY_BITS = 23
@@ -55,7 +55,7 @@ def rarity(docs: DataFrame) -> np.ndarray:
         tokens = Tokenizer()
         return count_hashes(batches, lambda b: (block.hashes for block in tokens.blocks(b.column(0))), RARITY_BITS)
 
-    return rarity_table(docs.select("text").mapInArrow(count, "bucket int, n long"), RARITY_BITS)
+    return rarity_table(docs.select("text").mapInArrow(count, COUNTS), RARITY_BITS)
 
 
 def line_sets(block, levels: np.ndarray | None):
@@ -263,9 +263,11 @@ def later_matches(docs: DataFrame) -> DataFrame:
     """(doc_id, line) of every line that is similar to an earlier one; ``docs`` has doc_id and text."""
     docs = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", "text")
     found = stage(map_batches(docs, "doc_id long, line int, d1 long, d2 long, n int, s0 long, s1 long, skip int, words array<long>, parts array<long>", _prefixes(rarity(docs))), "ln-lines")
-    classes = stage(found.groupBy("d1", "d2").agg(F.min(F.struct("doc_id", "line")).alias("first")), "ln-classes")
-    copy = F.struct("doc_id", "line") > F.col("first")
-    lines = found.join(classes, ["d1", "d2"]).select("doc_id", "line", copy.alias("copy"), "n", "s0", "s1", "skip", F.when(~copy & (F.col("n") > 3), F.col("words")).alias("words"), F.when(~copy, F.col("parts")).alias("parts"))
+    # only classes of several lines hold copies, and are joined
+    classes = found.groupBy("d1", "d2").agg(F.min(F.struct("doc_id", "line")).alias("first"), F.count("*").alias("several"))
+    classes = stage(classes.where("several > 1").drop("several"), "ln-classes")
+    copy = F.coalesce(F.struct("doc_id", "line") > F.col("first"), F.lit(False))
+    lines = found.join(classes, ["d1", "d2"], "left").select("doc_id", "line", copy.alias("copy"), "n", "s0", "s1", "skip", F.when(~copy & (F.col("n") > 3), F.col("words")).alias("words"), F.when(~copy, F.col("parts")).alias("parts"))
     told = stage(lines, "ln-told")  # sets of three words and fewer are similar to equal ones only
     discard(found)
     discard(classes)
@@ -299,8 +301,7 @@ def _without(texts: pa.Array, gone: pa.Array) -> tuple[list, list, list]:
 def _with_gone(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """All columns of ``docs`` by position, and last the numbers of the lines that go."""
     flat, _ = keyed(docs, doc_id, text)
-    found = stage(later_matches(slim(flat, docs, text)), "ln-gone")
-    gone = found.groupBy("doc_id").agg(F.collect_list("line").alias("gone"))  # at most a document's lines
+    gone = stage(later_matches(slim(flat, docs, text)).groupBy("doc_id").agg(F.collect_list("line").alias("gone")), "ln-gone")  # at most a document's lines
     return flat.join(gone.withColumnRenamed("doc_id", "key"), "key", "left").drop("key")
 
 

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trendloom.llm.common import MULTIPLIER, Tokenizer, byte_table, count_hashes, distinct, keyed, map_batches, mix64, rarity_table, shingle_hashes, slim, stage
+from trendloom.llm.common import COUNTS, MULTIPLIER, Tokenizer, byte_table, count_hashes, distinct, keyed, map_batches, mix64, rarity_table, shingle_hashes, slim, stage
 from trendloom.llm.graph import components
 
 #: Components of a band, and the chance that a pair at the threshold shares no band.
@@ -165,7 +165,7 @@ def apart(open_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """
     some = stage(sets.join(open_.select("id"), "id", "left_semi"), "mh-open-sets")
     count = lambda batches: count_hashes(batches, lambda b: [b.column(0).flatten().to_numpy(zero_copy_only=False).view(np.uint64)], TABLE_BITS)
-    levels = rarity_table(some.select("s").mapInArrow(count, "bucket int, n long"), TABLE_BITS)
+    levels = rarity_table(some.select("s").mapInArrow(count, COUNTS), TABLE_BITS)
     entries = stage(map_batches(some, "word long, id long, n long, at long", _prefixes(levels, percent)).join(open_, "id"), "mh-entries")
     x, y = entries.alias("x"), entries.alias("y")
     both = F.col("x.n") + F.col("y.n")
