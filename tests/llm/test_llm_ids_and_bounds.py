@@ -117,6 +117,16 @@ def test_the_index_of_items_loses_no_match(spark):
     assert held > 100
 
 
+def test_the_index_counts_a_word_as_often_as_in_both():
+    """A text that repeats one of an item's words, the others far apart, can't hold the item."""
+    item = [b"the"] + [b"a%d" % i for i in range(9)]
+    index = decontaminate.Index([item, [b"b", b"c"]])
+    ids = lambda words: index.ids(decontaminate.hash_words(words))
+    assert index.possible(ids([w for a in item[1:] for w in [b"the"] * 60 + [a]])) == []
+    assert index.possible(ids([b"the"] * 60 + item[:6] + [b"the"] * 60)) == [0]
+    assert index.possible(ids([b"x"] * 9 + item + [b"c", b"b"])) == [0, 1]
+
+
 def test_bit_tables_hold_all_that_was_put_in(spark):
     hashes = spark.range(5000).select(F.xxhash64("id").alias("h"))
     t = BitTable.of(hashes, 5000)

@@ -33,13 +33,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trendloom.llm.common import Tokenizer, discard, distinct, hash_words, map_batches, sorted_groups, stage, words_of
+from trendloom.llm.common import Tokenizer, discard, distinct, hash_words, map_batches, stage, words_of
 from trendloom.llm.passages import aligned, lcs, masks  # noqa: F401  (lcs is what ``aligned`` gives, for callers)
 
 #: Buckets of words, columns of the sketch, dimensions kept.
 BUCKETS, SKETCH, DIMS = 1 << 15, 112, 96
-#: Passages whose products are summed by word at once, rows of vectors gathered at once (to stay within a core's cache), and vectors added at a time.
-GROUP, CHUNK, FOLD = 1 << 14, 1 << 13, 8
+#: Passages whose products are summed by word at once, rows of vectors gathered at once (to stay within a core's cache), and places up to which words are summed together.
+GROUP, CHUNK, FEW = 1 << 14, 1 << 11, 16
 #: Words of a passage and between their starts in a document (SPAN is a multiple; in an item they start at every word), items of a pass.
 SPAN, STEP, ITEMS = 24, 8, 1 << 15
 #: Least cosine of a candidate (for items shorter than a passage, less in proportion); shares of an item's words that count as copied, or as paraphrased.
@@ -65,12 +65,11 @@ def document_frequency(docs: DataFrame) -> tuple[np.ndarray, int]:
     def run(batches):
         tokens, held, n = Tokenizer(), np.zeros(BUCKETS, np.int64), 0
         for batch in batches:
-            for _, b in texts_of(tokens, batch.column(0)):
-                if len(b):
-                    mark = np.zeros(BUCKETS, bool)
-                    mark[b] = True
-                    held += mark
-                    n += 1
+            for block in tokens.blocks(batch.column(0)):
+                sizes = np.diff(block.bounds)
+                b = np.repeat(np.arange(len(sizes)) * BUCKETS, sizes) + (block.hashes & np.uint64(BUCKETS - 1)).astype(np.int64)
+                held += np.bincount(distinct(b) % BUCKETS, minlength=BUCKETS)
+                n += np.count_nonzero(sizes)
         some = np.flatnonzero(held)
         yield pa.RecordBatch.from_pydict({"bucket": pa.array([*some, -1], pa.int32()), "n": pa.array([*held[some], n], pa.int64())})
 
@@ -119,25 +118,30 @@ def _products(a: np.ndarray, left: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Of each row of ``at``, the sum of these rows of ``left`` by the factors ``a``."""
     out = np.empty((len(at), left.shape[1]), np.float32)
     step = max(1, CHUNK // at.shape[1])
+    held = np.empty((min(step, len(at)), at.shape[1], left.shape[1]), np.float32)
     for i in range(0, len(at), step):
-        out[i : i + step] = np.matmul(a[i : i + step, None, :], left[at[i : i + step]])[:, 0]
+        some = at[i : i + step]
+        rows = held[: len(some)]
+        np.take(left, some, axis=0, out=rows, mode="clip")  # in bounds anyway; "raise" would buffer
+        np.matmul(a[i : i + step, None, :], rows, out=out[i : i + step, None, :])
     return out
 
 
 def _by_word(w: np.ndarray, a: np.ndarray, y: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Each word of ``w`` (sorted) once, and the sum of its rows of ``y`` by the factors ``a``, FOLD at a time."""
-    while True:
-        first = np.flatnonzero(np.concatenate([[True], w[1:] != w[:-1]]))
-        counts = np.diff(np.append(first, len(w)))
-        pieces = -(-counts // FOLD)
-        at = np.arange(len(w)) - np.repeat(first, counts) + np.repeat((np.cumsum(pieces) - pieces) * FOLD, counts)
-        rows, factors = np.zeros(pieces.sum() * FOLD, np.int64), np.zeros(pieces.sum() * FOLD, np.float32)
-        rows[at], factors[at] = row, a
-        y = _products(factors.reshape(-1, FOLD), y, rows.reshape(-1, FOLD))
-        w = np.repeat(w[first], pieces)
-        if len(w) == len(first):
-            return w, y
-        row, a = np.arange(len(w)), np.ones(len(w), np.float32)
+    """Each word of ``w`` (sorted) once, and the sum of its rows of ``y`` by the factors ``a``: words of the same few places together, others by themselves."""
+    first = np.flatnonzero(np.concatenate([[True], w[1:] != w[:-1]]))
+    counts = np.diff(np.append(first, len(w)))
+    out = np.zeros((len(first), y.shape[1]), np.float32)
+    for n in range(1, FEW + 1):
+        some = np.flatnonzero(counts == n)
+        if len(some):
+            at = first[some, None] + np.arange(n)
+            out[some] = _products(a[at], y, row[at])
+    for i in np.flatnonzero(counts > FEW):
+        for lo in range(first[i], first[i] + counts[i], CHUNK):
+            hi = min(lo + CHUNK, first[i] + counts[i])
+            out[i] += a[lo:hi] @ np.take(y, row[lo:hi], axis=0)
+    return w[first], out
 
 
 def _sums(left_of, weight: np.ndarray):
@@ -164,17 +168,28 @@ def _sums(left_of, weight: np.ndarray):
     return run
 
 
+def _added(batches):
+    """Sorted (bucket, values): the sums of each bucket's values in a batch."""
+    for b in batches:
+        if b.num_rows:
+            bucket = b.column(0).to_numpy()
+            v = np.frombuffer(b"".join(b.column(1).to_pylist()), np.float32).reshape(len(bucket), -1)
+            first = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+            sums = np.add.reduceat(v, first, axis=0, dtype=np.float64)
+            yield pa.RecordBatch.from_pydict({"bucket": pa.array(bucket[first], pa.int32()), "v": pa.array([r.tobytes() for r in sums], pa.binary())})
+
+
 def latent_space(docs: DataFrame, items: DataFrame, weight: np.ndarray) -> np.ndarray:
     """Buckets by DIMS: the right singular vectors of all passages over their singular values, weighed."""
     texts = docs.select("text").unionByName(items.select("text"))
-    rows = stage(map_batches(texts, "words binary", _coded), "dc-words")
+    rows = stage(map_batches(texts, "words binary", _coded, TEXTS), "dc-words")
 
     def multiply(left_of) -> np.ndarray:
         parts = rows.mapInArrow(_sums(left_of, weight), "bucket int, v binary")
-        add = lambda key, vs: [(key[0], np.sum([np.frombuffer(v[0], np.float32) for v in vs], axis=0, dtype=np.float64).tobytes())]
+        dealt = parts.repartition("bucket").sortWithinPartitions("bucket")
         out = np.zeros((BUCKETS, SKETCH))
-        for r in stage(sorted_groups(parts, ["bucket"], [], "bucket int, v binary", add), "dc-sums").toLocalIterator():
-            out[r.bucket] = np.frombuffer(r.v)
+        for r in stage(dealt.mapInArrow(_added, "bucket int, v binary"), "dc-sums").toLocalIterator():
+            out[r.bucket] += np.frombuffer(r.v)
         return out
 
     q, _ = np.linalg.qr(multiply(_gaussian))
@@ -206,8 +221,8 @@ def answer_of(text: str) -> list[bytes]:
     return words_of(parts[-1]) if len(parts) > 1 else words_of(text)[-5:]
 
 
-#: Documents that are bared at once.
-ROWS = 256
+#: Documents that are coded or searched at once, and bared at once.
+TEXTS, ROWS = 1024, 256
 #: Bytes that ``bare`` takes out of words.
 MARKS = b".,;:!?\"'()[]{}|*#%&$"
 
@@ -222,6 +237,15 @@ def holds(words: list[bytes], part: list[bytes]) -> bool:
     return not part or (bool(words) and b"\n%b\n" % b"\n".join(part) in b"\n%b\n" % b"\n".join(words))
 
 
+#: Counts by item and place that are held at once.
+AT_ONCE = 1 << 20
+
+
+def spread(lo: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The numbers from each of ``lo`` on, so many as ``n`` says."""
+    return np.arange(n.sum()) + np.repeat(lo - np.cumsum(n) + n, n)
+
+
 class Index:
     """Which items can have ``PARAPHRASED`` of their words within a stretch of a text, told by hashes of bare words."""
 
@@ -232,14 +256,16 @@ class Index:
         self.bits = np.zeros(1 << 20, bool)
         self.bits[(self.known & np.uint64(len(self.bits) - 1)).astype(np.int64)] = True
         ids = [np.searchsorted(self.known, h) for h in hashes]
-        owner = np.repeat(np.arange(len(items)), [len(i) for i in ids])
-        flat = np.concatenate([*ids, np.zeros(0, np.int64)]).astype(np.int64)
+        sets = [np.unique(i, return_counts=True) for i in ids]
+        self.sets = [w for w, _ in sets]
+        owner = np.repeat(np.arange(len(items)), [len(w) for w in self.sets])
+        flat, times = (np.concatenate([*(s[j] for s in sets), np.zeros(0, np.int64)]).astype(np.int64) for j in (0, 1))
         order = np.argsort(flat, kind="stable")
-        self.holders, self.first = owner[order].astype(np.int32), np.searchsorted(flat[order], np.arange(len(self.known) + 1))
+        # of each word, the items that hold it and how many times
+        self.holders, self.times, self.first = owner[order].astype(np.int32), times[order].astype(np.int32), np.searchsorted(flat[order], np.arange(len(self.known) + 1))
         # words that are nothing without their marks may be matched too, and aren't counted here
         self.need = np.array([PARAPHRASED * len(i) - sum(not w for w in i) - 1e-9 for i in items])
         self.reach = np.array([2 * len(i) + SPAN for i in items])
-        self.sets = [distinct(i) for i in ids]
 
     def ids(self, hashes: np.ndarray) -> np.ndarray:
         """The number of each word among the items' words, -1 for others."""
@@ -257,17 +283,35 @@ class Index:
         return np.concatenate([[0], np.cumsum(mine[ids])])
 
     def possible(self, ids: np.ndarray) -> list[int]:
-        """The items that a text of these words may hold."""
-        here = distinct(ids[ids >= 0])
+        """The items that a text of these words may hold: some stretch shares enough words with them, each counted as often as in both at most."""
+        at = np.flatnonzero(ids >= 0)
+        at = at[np.argsort(ids[at], kind="stable")]  # places by word
+        words = ids[at]
+        group = np.flatnonzero(np.concatenate([[True], words[1:] != words[:-1]])) if len(at) else at
+        here, sizes = words[group], np.diff(np.append(group, len(at)))
         lo, n = self.first[here], self.first[here + 1] - self.first[here]
-        at = np.arange(n.sum()) + np.repeat(lo - np.cumsum(n) + n, n)
-        held = np.bincount(self.holders[at], minlength=len(self.need))
+        flat = spread(lo, n)
+        holders, times, word = self.holders[flat], self.times[flat], np.repeat(np.arange(len(here)), n)
+        enough = np.bincount(holders, np.minimum(times, sizes[word]), len(self.need)) >= self.need
+        found = np.flatnonzero(enough)
+        some = enough[holders]
+        holders, times, word = holders[some], times[some], word[some]
         out = []
-        for i in np.flatnonzero(held >= self.need):
-            sums = self.before(i, ids)
-            reach = min(self.reach[i], len(ids))
-            if (sums[reach:] - sums[: len(sums) - reach]).max() >= self.need[i]:
-                out.append(int(i))
+        step = max(1, AT_ONCE // (len(ids) + 1))
+        for k in range(0, len(found), step):
+            items = found[k : k + step]
+            some = slice(None) if len(found) <= step else (holders >= items[0]) & (holders <= items[-1])
+            g, c, n = word[some], times[some], sizes[word[some]]
+            flat, start, back = spread(group[g], n), np.repeat(group[g], n), np.repeat(c, n)
+            x, row = at[flat], np.repeat(np.searchsorted(items, holders[some]), n)
+            # a place counts for the stretches that begin behind the place of this word so many times before
+            last = np.where(flat - back >= start, at[np.maximum(flat - back, 0)], -1)
+            begin = np.maximum(np.maximum(last, x - self.reach[items[row]]) + 1, 0)
+            row *= len(ids) + 1
+            size = len(items) * (len(ids) + 1)
+            change = np.bincount(row + begin, minlength=size) - np.bincount(row + x + 1, minlength=size)
+            most = np.cumsum(change).reshape(len(items), -1).max(1)  # each row's changes sum to nothing
+            out.extend(items[most >= self.need[items]].tolist())
         return out
 
 
@@ -366,7 +410,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
     space, block = None, []
 
     def search(block):
-        return map_batches(docs, schema, _search(space, block))
+        return map_batches(docs, schema, _search(space, block), TEXTS)
 
     for r in items.distinct().orderBy("item_id", "text").toLocalIterator():  # the stated query set, in blocks
         if not words_of(r.text):
