@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 import brute
 import corpus_pipeline
 from trendloom.llm import decontaminate, knn, lines, minhash
-from trendloom.llm.common import BitTable, keyed, mix64, table
+from trendloom.llm.common import BitTable, keyed, map_batches, mix64, table
 
 SF = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, key string, c0 string"
@@ -127,6 +127,25 @@ def test_the_index_counts_a_word_as_often_as_in_both():
     assert index.possible(ids([b"x"] * 9 + item + [b"c", b"b"])) == [0, 1]
 
 
+def test_texts_are_worked_on_a_part_of_a_batch_at_a_time(spark, monkeypatch):
+    """Sets and signatures are made for so many texts at once, however many a batch has."""
+    asked = {}
+
+    def record(df, schema, make, rows=None):
+        asked[make.__qualname__.split(".")[0]] = rows
+        return map_batches(df, schema, make, rows)
+
+    for module in (lines, minhash, decontaminate):
+        monkeypatch.setattr(module, "map_batches", record)
+    docs = spark.createDataFrame([(i, f"some words that are the same {i % 3} and more of them {i}\nline {i}") for i in range(9)], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "some words that are the same")], "item_id long, text string")
+    minhash.near_duplicates(docs, k=2, percent=50).count()
+    lines.dedup_lines(docs).count()
+    decontaminate.contaminated(docs, items).count()
+    made = {n: asked[n] for n in ("_signatures", "_sets", "_prefixes", "_full_sets", "_coded", "_search")}
+    assert all(n and n <= 1024 for n in made.values()), made
+
+
 def test_bit_tables_hold_all_that_was_put_in(spark):
     hashes = spark.range(5000).select(F.xxhash64("id").alias("h"))
     t = BitTable.of(hashes, 5000)

@@ -38,7 +38,7 @@ from trendloom.llm.common import COUNTS, MULTIPLIER, BitTable, Tokenizer, count_
 
 #: Buckets of the rarity table, as a power of two.
 RARITY_BITS = 23
-#: Texts whose full sets are made at once.
+#: Texts whose sets are made at once.
 TEXTS = 1024
 #: Longs of a signature and of a wide one, parts that words are dealt to.
 SHORT, WIDE, PARTS = 2, 4, 6
@@ -262,7 +262,7 @@ def similar(docs: DataFrame, pairs: DataFrame, name: str) -> DataFrame:
 def later_matches(docs: DataFrame) -> DataFrame:
     """(doc_id, line) of every line that is similar to an earlier one; ``docs`` has doc_id and text."""
     docs = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", "text")
-    found = stage(map_batches(docs, "doc_id long, line int, d1 long, d2 long, n int, s0 long, s1 long, skip int, words array<long>, parts array<long>", _prefixes(rarity(docs))), "ln-lines")
+    found = stage(map_batches(docs, "doc_id long, line int, d1 long, d2 long, n int, s0 long, s1 long, skip int, words array<long>, parts array<long>", _prefixes(rarity(docs)), TEXTS), "ln-lines")
     # only classes of several lines hold copies, and are joined
     classes = found.groupBy("d1", "d2").agg(F.min(F.struct("doc_id", "line")).alias("first"), F.count("*").alias("several"))
     classes = stage(classes.where("several > 1").drop("several"), "ln-classes")

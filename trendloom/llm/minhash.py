@@ -37,6 +37,8 @@ from trendloom.llm.graph import components
 ROWS, MISS = 5, 1e-6
 #: Shingles that walk at once (bounds memory for very long texts).
 BLOCK = 1 << 15
+#: Texts or sets that are worked on at once.
+TEXTS = 1024
 #: Size, as a power of two, of the tables that are sent to all tasks.
 TABLE_BITS = 22
 
@@ -166,7 +168,7 @@ def apart(open_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     some = stage(sets.join(open_.select("id"), "id", "left_semi"), "mh-open-sets")
     count = lambda batches: count_hashes(batches, lambda b: [b.column(0).flatten().to_numpy(zero_copy_only=False).view(np.uint64)], TABLE_BITS)
     levels = rarity_table(some.select("s").mapInArrow(count, COUNTS), TABLE_BITS)
-    entries = stage(map_batches(some, "word long, id long, n long, at long", _prefixes(levels, percent)).join(open_, "id"), "mh-entries")
+    entries = stage(map_batches(some, "word long, id long, n long, at long", _prefixes(levels, percent), TEXTS).join(open_, "id"), "mh-entries")
     x, y = entries.alias("x"), entries.alias("y")
     both = F.col("x.n") + F.col("y.n")
     near = (
@@ -194,7 +196,7 @@ def near_duplicates(docs: DataFrame, k: int = 3, percent: int = 85, doc_id: str
 
 
 def _linked(docs: DataFrame, k: int, percent: int) -> DataFrame:
-    rows = stage(map_batches(docs, "doc_id long, digest binary, n_shingles long, bands array<long>", _signatures(k, bands_for(percent / 100))), "mh-rows")
+    rows = stage(map_batches(docs, "doc_id long, digest binary, n_shingles long, bands array<long>", _signatures(k, bands_for(percent / 100)), TEXTS), "mh-rows")
     full = rows.where("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = stage(full.groupBy("digest").agg(F.min("doc_id").alias("rep")), "mh-classes")
     chosen = full.join(classes.select("digest", F.col("rep").alias("doc_id")), ["digest", "doc_id"], "left_semi")
@@ -202,7 +204,7 @@ def _linked(docs: DataFrame, k: int, percent: int) -> DataFrame:
     buckets = stage(banded.groupBy("key").agg(F.min("id").alias("low"), F.count("*").alias("size")).where("size > 1"), "mh-buckets")
     member = stage(banded.join(buckets, "key"), "mh-members")
     wanted = byte_table(map_batches(member.select("id").distinct(), "bucket int", _bits).distinct().withColumn("on", F.lit(1)), "on", TABLE_BITS)
-    sets = stage(map_batches(docs.where("doc_id IS NOT NULL"), "id long, s array<long>", _sets(k, wanted)), "mh-sets")
+    sets = stage(map_batches(docs.where("doc_id IS NOT NULL"), "id long, s array<long>", _sets(k, wanted), TEXTS), "mh-sets")
 
     star = member.where("id <> low").select(F.col("low").alias("a"), F.col("id").alias("b")).distinct()
     links = stage(confirm(star, sets, percent), "mh-links")
