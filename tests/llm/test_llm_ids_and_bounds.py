@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -182,6 +183,18 @@ def test_the_latent_space_is_fitted_to_all_passages(spark):
     assert (np.abs(space[own]).max(1) > 0).all()
 
 
+def test_sums_by_word_hold_little_beside_their_table():
+    """Beside the sums (8 bytes a value) and the vectors (4 bytes) a task holds little more than both again."""
+    words = np.random.default_rng(5).integers(0, decontaminate.BUCKETS, 400_000).astype(np.uint16)
+    batch = pa.RecordBatch.from_pydict({"words": pa.array([words.tobytes()], pa.binary())})
+    tracemalloc.start()
+    n = sum(b.num_rows for b in decontaminate._sums(decontaminate._gaussian, np.ones(decontaminate.BUCKETS))([batch]))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n == decontaminate.BUCKETS
+    assert most < 2.3 * 12 * decontaminate.BUCKETS * decontaminate.SKETCH
+
+
 def test_sums_by_word_are_those_of_a_plain_product(spark):
     rng = np.random.default_rng(3)
     texts = [rng.integers(0, 50, n).astype(np.uint16) for n in (1, 23, 24, 25, 400, 7)]

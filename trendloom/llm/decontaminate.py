@@ -33,13 +33,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trendloom.llm.common import Tokenizer, discard, distinct, hash_words, map_batches, stage, words_of
+from trendloom.llm.common import Tokenizer, discard, distinct, hash_words, map_batches, stage, tidied, words_of
 from trendloom.llm.passages import aligned, lcs, masks  # noqa: F401  (lcs is what ``aligned`` gives, for callers)
 
 #: Buckets of words, columns of the sketch, dimensions kept.
 BUCKETS, SKETCH, DIMS = 1 << 15, 112, 96
 #: Passages whose products are summed by word at once, rows of vectors gathered at once (to stay within a core's cache), and places up to which words are summed together.
 GROUP, CHUNK, FEW = 1 << 14, 1 << 11, 16
+#: Buckets whose values are made or added at once.
+ADDED = 1 << 10
 #: Words of a passage and between their starts in a document (SPAN is a multiple; in an item they start at every word), items of a pass.
 SPAN, STEP, ITEMS = 24, 8, 1 << 15
 #: Least cosine of a candidate (for items shorter than a passage, less in proportion); shares of an item's words that count as copied, or as paraphrased.
@@ -73,7 +75,7 @@ def document_frequency(docs: DataFrame) -> tuple[np.ndarray, int]:
         some = np.flatnonzero(held)
         yield pa.RecordBatch.from_pydict({"bucket": pa.array([*some, -1], pa.int32()), "n": pa.array([*held[some], n], pa.int64())})
 
-    found = docs.select("text").mapInArrow(run, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
+    found = docs.select("text").mapInArrow(tidied(run), "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
     out = np.zeros(BUCKETS + 1, np.int64)
     out[found["bucket"].to_numpy()] = found["n"].to_numpy()
     return out[:BUCKETS], int(out[-1])
@@ -85,7 +87,10 @@ def _coded():
 
 
 def _gaussian() -> np.ndarray:
-    return np.random.default_rng(SEED).standard_normal((BUCKETS, SKETCH)).astype(np.float32)
+    rng, out = np.random.default_rng(SEED), np.empty((BUCKETS, SKETCH), np.float32)
+    for part in np.split(out, BUCKETS // ADDED):  # a part at a time, to hold less
+        part[:] = rng.standard_normal(part.shape)
+    return out
 
 
 def _parts(texts: pa.Array):
@@ -144,28 +149,32 @@ def _by_word(w: np.ndarray, a: np.ndarray, y: np.ndarray, row: np.ndarray) -> tu
     return w[first], out
 
 
+def _add(held: np.ndarray, left: np.ndarray, weigh: np.ndarray, w: np.ndarray, use: np.ndarray) -> None:
+    """Adds A^T (A L) of the passages ``w``, ``use`` to ``held``."""
+    a = weigh[w] * use
+    a /= np.sqrt((a * a).sum(1, keepdims=True))
+    y = _products(a, left, w)
+    some = np.flatnonzero(use.ravel())
+    some = some[np.argsort(w.ravel()[some].astype(np.uint16), kind="stable")]
+    words, sums = _by_word(w.ravel()[some], a.ravel()[some], y, some // SPAN)
+    for i in range(0, len(words), ADDED):
+        held[words[i : i + ADDED]] += sums[i : i + ADDED]
+
+
 def _sums(left_of, weight: np.ndarray):
     """Tasks' parts of A^T (A L): rows of (bucket, values)."""
 
     def run(batches):
         left, held, weigh = left_of(), np.zeros((BUCKETS, SKETCH)), weight.astype(np.float32)
         for batch in batches:
-            for w, use in _parts(batch.column(0)):
-                a = weigh[w] * use
-                a /= np.sqrt((a * a).sum(1, keepdims=True))
-                y = _products(a, left, w)
-                some = np.flatnonzero(use.ravel())
-                flat = w.ravel()[some]
-                order = np.argsort(flat.astype(np.uint16), kind="stable")
-                some = some[order]
-                words, sums = _by_word(flat[order], a.ravel()[some], y, some // SPAN)
-                held[words] += sums
+            for part in _parts(batch.column(0)):
+                _add(held, left, weigh, *part)
         some = np.flatnonzero(held.any(1))
-        for at in range(0, len(some), 4096):
-            part = some[at : at + 4096]
+        for at in range(0, len(some), ADDED):
+            part = some[at : at + ADDED]
             yield pa.RecordBatch.from_pydict({"bucket": pa.array(part, pa.int32()), "v": pa.array([held[i].astype(np.float32).tobytes() for i in part], pa.binary())})
 
-    return run
+    return tidied(run)
 
 
 def _added(batches):
